@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from mostrador.functions.casting import to_sale_time
 from mostrador.functions.keys import canonical_uuid
 from mostrador.operators.quantiles import group_summary
 from mostrador.operators.summary import statistics
+from mostrador.session import cut_lineage
 
 # Distinct filter combinations joined by broadcast at once; more are answered
 # in several passes over the sales, each within this bound.
@@ -156,23 +156,18 @@ def request_errors(validated: DataFrame) -> DataFrame:
     )
 
 
-def _equality_key(name: str, value: Column) -> Column:
+def _equality_key(name: Column, value: Column) -> Column:
     """The value of an equality filter as the text both sides of the join are compared by."""
     text = _strip(value)
-    if name == "GENERO":
-        codes = F.create_map(*[F.lit(x) for pair in S.GENDER_CODES.items() for x in pair])
-        return F.try_element_at(codes, F.lower(text)).cast("string")
-    if name == "CANAL":
-        return F.upper(text)
-    if name == "ID_PERSONA":
-        return canonical_uuid(text)
-    digits = F.replace(text, F.lit("_"), F.lit(""))
-    number = F.when(digits.rlike("^[+-]?[0-9]+$"), digits.try_cast("bigint"))
-    return number.cast(_EQUALITIES[name][1]).cast("string")
-
-
-def _filter_key(name: str, request_filter: Column) -> Column:
-    return _equality_key(name, request_filter["valor"])
+    codes = F.create_map(*[F.lit(x) for pair in S.GENDER_CODES.items() for x in pair])
+    number = F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint")
+    return (
+        F.when(name == "GENERO", F.try_element_at(codes, F.lower(text)).cast("string"))
+        .when(name == "CANAL", F.upper(text))
+        .when(name == "ID_PERSONA", canonical_uuid(text))
+        .when(name == "EDAD", number.cast("double").cast("string"))
+        .when(name.isin(*_NUMBERS), number.cast("string"))
+    )
 
 
 def request_bounds(validated: DataFrame) -> DataFrame:
@@ -181,21 +176,32 @@ def request_bounds(validated: DataFrame) -> DataFrame:
     A filter repeated with different values, or a number no column can hold,
     makes the request impossible: its answer is the empty one.
     """
-
-    def values(name: str, convert) -> Column:
-        mine = F.filter("filters", lambda f: f.consulta == name)
-        return F.coalesce(F.array_distinct(F.transform(mine, convert)), F.array())
-
-    columns, impossible = [], F.lit(False)
+    entries = (
+        validated.select("request_id", "detail", F.explode_outer("filters").alias("f"))
+        .select(
+            "request_id",
+            "detail",
+            F.col("f.consulta").alias("name"),
+            _equality_key(F.col("f.consulta"), F.col("f.valor")).alias("key"),
+            F.when(F.col("f.consulta").isin(*_DATES), to_sale_time(_strip(F.col("f.valor")))).alias("at"),
+        )
+    )
+    lowest, agree = [], F.lit(True)
     for name in _EQUALITIES:
-        keys = values(name, partial(_filter_key, name))
-        columns.append(F.get(keys, F.lit(0)).alias(name))
-        impossible = impossible | (F.size(keys) > 1) | F.exists(keys, lambda k: k.isNull())
-    as_time = lambda f: to_sale_time(_strip(f.valor))
-    columns.append(F.array_max(values("FECHA_DESDE", as_time)).alias("desde"))
-    columns.append(F.array_min(values("FECHA_HASTA", as_time)).alias("hasta"))
-    valid = validated.where("detail is null")
-    return valid.select("request_id", *columns, (~impossible).alias("possible"))
+        mine = F.when(F.col("name") == name, F.col("key"))
+        lowest.append(F.min(mine).alias(name))
+        agree = agree & F.coalesce(F.min(mine) == F.max(mine), F.lit(True))
+    unknown = F.count_if(F.col("name").isin(*_EQUALITIES) & F.col("key").isNull())
+    # Rejected requests leave after the aggregation: a filter on the message before
+    # it would make Spark validate every request a second time.
+    bounds = entries.groupBy("request_id").agg(
+        F.max("detail").alias("detail"),
+        *lowest,
+        F.max(F.when(F.col("name") == "FECHA_DESDE", F.col("at"))).alias("desde"),
+        F.min(F.when(F.col("name") == "FECHA_HASTA", F.col("at"))).alias("hasta"),
+        (agree & (unknown == 0)).alias("possible"),
+    )
+    return bounds.where("detail is null").drop("detail")
 
 
 def _combinations(bounds: DataFrame) -> DataFrame:
@@ -242,7 +248,10 @@ def batch_summary(sales: DataFrame, validated: DataFrame, measure: str = S.MEASU
     requests through an equality join on the filters they set, and only the time
     bounds are compared afterwards, so sales and requests are never all paired.
     """
-    combined = _combinations(request_bounds(validated)).withColumn("combination", _combination_id())
+    # Parsed and validated once; everything below reads the result.
+    combined = cut_lineage(
+        _combinations(request_bounds(validated)).withColumn("combination", _combination_id())
+    )
     distinct = (
         combined.where("possible").select("combination", "signature", "key", "desde", "hasta").distinct()
     )
