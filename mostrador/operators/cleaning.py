@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mostrador.operators.quality import null_profile
 from mostrador.operators.quantiles import column_quantiles
 from mostrador.schema import (
     FENCE_FACTOR,
@@ -213,19 +212,3 @@ def cleaning_report(df: DataFrame, mcar: DataFrame | None = None) -> DataFrame:
         )
     return report
 
-
-__all__ = [
-    "apply_cleaning",
-    "clean",
-    "cleaning_report",
-    "fences",
-    "fit_cleaning",
-    "impute_median",
-    "mark_outliers",
-    "null_profile",
-    "outlier_counts",
-    "outliers_iqr",
-    "outliers_zscore",
-    "settle",
-    "single_row",
-]

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mostrador.functions import derive
-from mostrador.operators.cleaning import single_row
 from mostrador.operators.lookup import lookup_by_key
 from mostrador.operators.quantiles import column_quantiles
 from mostrador.schema import (
@@ -22,6 +21,7 @@ from mostrador.schema import (
     SCALED_SUFFIX,
     UNIT_PRICE,
 )
+from mostrador.session import cut_lineage
 
 CUSTOMER = "CODIGO_CLIENTE"
 RECEIPT = "BOLETA"
@@ -76,7 +76,7 @@ def age_quality(df: DataFrame) -> DataFrame:
     )
 
 
-def _frequency_table(df: DataFrame) -> DataFrame:
+def _frequency_plan(df: DataFrame) -> DataFrame:
     # Spark removes repeated (customer, receipt) pairs before the customer's own
     # shuffle, hashing on both, so a customer with very many lines is spread out.
     return (
@@ -86,9 +86,14 @@ def _frequency_table(df: DataFrame) -> DataFrame:
     )
 
 
+def frequency_table(df: DataFrame) -> DataFrame:
+    """The purchase frequency and number of lines per customer, computed once and kept distributed."""
+    return cut_lineage(_frequency_plan(df))
+
+
 def purchase_frequency(df: DataFrame) -> DataFrame:
     """(customer, distinct receipts) over the whole data."""
-    return _frequency_table(df).drop("lines")
+    return _frequency_plan(df).drop("lines")
 
 
 def purchase_frequency_summary(df: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def purchase_frequency_summary(df: DataFrame) -> DataFrame:
 
 def add_frequency(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     """Attach the purchase frequency of the customer; NULL for a line without customer."""
-    table = _frequency_table(df) if table is None else table
+    table = frequency_table(df) if table is None else table
     return lookup_by_key(df, table, CUSTOMER, FREQUENCY, "lines")
 
 
@@ -152,8 +157,9 @@ def fit_features(df: DataFrame, with_frequency: bool = True) -> FeatureParams:
     """Scales and, if wanted, the frequency table. The table stays distributed."""
     table = None
     if with_frequency and {CUSTOMER, RECEIPT} <= set(df.columns):
-        if not df.where(F.col(CUSTOMER).isNotNull()).select(CUSTOMER).isEmpty():
-            table = _frequency_table(df)
+        table = frequency_table(df)
+        if table.isEmpty():
+            table = None
     return FeatureParams(fit_scales(df), table)
 
 
@@ -173,23 +179,3 @@ def engineer_features(df: DataFrame, with_frequency: bool = True) -> DataFrame:
     """Fit on ``df`` and apply to ``df``."""
     return apply_features(df, fit_features(df, with_frequency))
 
-
-__all__ = [
-    "FeatureParams",
-    "Scale",
-    "add_age",
-    "add_frequency",
-    "add_unit_price",
-    "age_quality",
-    "apply_features",
-    "apply_scales",
-    "engineer_features",
-    "fit_features",
-    "fit_scales",
-    "purchase_frequency",
-    "purchase_frequency_summary",
-    "scaling_parameters",
-    "single_row",
-    "standardize",
-    "unit_price_quality",
-]

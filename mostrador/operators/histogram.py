@@ -7,8 +7,9 @@ value alone and never decrease as the value grows:
 
 * the *coarse* bucket follows the logarithm of the magnitude, so there are at
   most about 182,000 of them whatever the data holds;
-* the *fine* bucket cuts one coarse bucket into equal steps between the smallest
-  and the largest value seen in it.
+* the *fine* bucket cuts one coarse bucket into about a million equal steps between
+  the smallest and the largest value seen in it. Beyond magnitude 1 a fine bucket
+  is narrower than one part in 100 million: money in cents has one value in it.
 
 Because the rules are deterministic, a recomputed task after an executor loss
 places every value where it was before.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COARSE_STEPS = 128
-FINE_STEPS = 65_536
+FINE_STEPS = 1 << 20
 _LARGEST = 1.7976931348623157e308
 _INFINITE_BUCKET = 100_000
 

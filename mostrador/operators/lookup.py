@@ -5,34 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of the counted rows. Shares
-# add up to one, so there are never more than 1 / HOT_SHARE = 100,000 hot keys,
-# which is what makes broadcasting their entries safe at any size.
-HOT_SHARE = 0.00001
+# Keys sent to every executor at most: about 10 MB of identifiers and numbers.
+BROADCAST_KEYS = 100_000
 _SPREAD = 1 << 20
 
 
-def lookup_by_key(rows: DataFrame, table: DataFrame, key: str, value: str, weight: str) -> DataFrame:
+def lookup_by_key(
+    rows: DataFrame, table: DataFrame, key: str, value: str, weight: str, broadcast_keys: int = BROADCAST_KEYS
+) -> DataFrame:
     """Left lookup of ``table.value`` by ``key``; no row is added or lost.
 
     ``table`` holds one row per key and the number of rows it has in ``weight``.
-    Hot keys are answered from a broadcast of bounded size. Their rows, and the
-    rows without a key, then join under spread-out keys that match nothing, so
-    no shuffle partition receives a hot group. All other keys join normally.
-    The spread is a hash of the row, never a random number: a task that is run
-    again after an executor loss must send its rows where they went before.
+    It is read several times, so it should be a stored or checkpointed one.
+
+    Up to ``broadcast_keys`` keys, the table is broadcast. Beyond that, only its
+    hot keys are: those with more than one part in ``broadcast_keys`` of all
+    rows, of which there can never be more than ``broadcast_keys``. Their rows,
+    and the rows without a key, take part in the second join under spread-out
+    keys that match nothing, so no shuffle partition receives a hot group.
     """
-    total = table.agg(F.sum(weight)).scalar()
-    hot = (
-        table.where(F.col(weight) > F.lit(HOT_SHARE) * total)
-        .select(F.col(key), F.col(value).alias("_hot_value"), F.lit(True).alias("_hot"))
+    if table.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        return rows.join(F.broadcast(table.select(key, value)), key, "left")
+
+    total = table.agg(F.sum(weight)).first()[0]
+    hot = table.where(F.col(weight) > total / broadcast_keys).select(
+        F.col(key), F.col(value).alias("_hot_value"), F.lit(True).alias("_hot")
     )
     joined = rows.join(F.broadcast(hot), key, "left")
+    # The spread is a hash of the row, never a random number: a task that is run
+    # again after an executor loss must send its rows where they went before.
     spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*rows.columns), F.lit(_SPREAD)).cast("string"))
     settled = F.col("_hot").isNotNull() | F.col(key).isNull()
-    cold = joined.withColumn(
-        "_cold_key", F.when(settled, spread).otherwise(F.col(key).cast("string"))
-    )
+    cold = joined.withColumn("_cold_key", F.when(settled, spread).otherwise(F.col(key).cast("string")))
     rest = table.select(F.col(key).cast("string").alias("_cold_key"), F.col(value).alias("_cold_value"))
     found = F.when(F.col("_hot").isNotNull(), F.col("_hot_value")).otherwise(F.col("_cold_value"))
     return (

@@ -1,8 +1,8 @@
 """Exact quantiles with linear interpolation, for any number of groups in one job.
 
 No value list is ever held by one task. The wanted ranks are located in the
-coarse buckets, then twice in finer ones, and only the distinct values of the
-last, narrow bucket are put in order. See ``histogram`` for the buckets.
+coarse buckets, then in the fine ones inside them, and only the distinct values
+of one fine bucket per rank are put in order. See ``histogram`` for the buckets.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from mostrador.operators.histogram import (
     melt,
 )
 
-_NARROWING_ROUNDS = 2
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -119,8 +118,7 @@ def _resolve(
     named: Mapping[str, float],
     few_groups: bool,
 ) -> DataFrame:
-    for _ in range(_NARROWING_ROUNDS):
-        targets = _narrow(hist, targets, by, few_groups)
+    targets = _narrow(hist, targets, by, few_groups)
     found = _pick(_inside(hist, targets, by, few_groups), by, "value")
     columns = []
     for i, name in enumerate(named):
