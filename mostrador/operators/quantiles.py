@@ -3,6 +3,10 @@
 No value list is ever held by one task. The wanted ranks are located in the
 coarse buckets, then in the fine ones inside them, and only the distinct values
 of one fine bucket per rank are put in order. See ``histogram`` for the buckets.
+
+Located ranks and group means are broadcast to the histogram, two rows per group
+and quantile. Callers therefore bound the number of groups (``MAX_GROUPS``): it is
+a list of columns, or a counted share of a larger set.
 """
 
 from __future__ import annotations
@@ -12,14 +16,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mostrador.operators.histogram import (
-    coarse_bucket,
-    coarse_edge,
-    distinct_counts,
-    fine_bucket,
-    melt,
-)
+from mostrador.operators.histogram import coarse_bucket, distinct_counts, fine_bucket, melt
 
+MAX_GROUPS = 500_000
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -28,8 +27,7 @@ def _before(n: str, window) -> F.Column:
 
 
 def _coarse(hist: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per coarse bucket: rows, value range, sum, and first two moments about the bucket edge."""
-    offset = F.col("value") - coarse_edge(F.col("bucket"))
+    """Rows, value range and sum per coarse bucket."""
     return (
         hist.withColumn("bucket", coarse_bucket(F.col("value")))
         .groupBy(*by, "bucket")
@@ -38,8 +36,6 @@ def _coarse(hist: DataFrame, by: Sequence[str]) -> DataFrame:
             F.min("value").alias("low"),
             F.max("value").alias("high"),
             F.sum(F.col("n") * F.col("value")).alias("total"),
-            F.sum(F.col("n") * offset).alias("first"),
-            F.sum(F.col("n") * offset * offset).alias("second"),
         )
     )
 
@@ -84,11 +80,12 @@ def _wanted_ranks(coarse: DataFrame, by: Sequence[str], probs: Sequence[float])
     )
 
 
-def _inside(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
+def _inside(hist: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
     """Distinct values that lie in the range a target is still confined to."""
-    side = F.broadcast(targets) if few_groups else targets
     placed = hist.withColumn("bucket", coarse_bucket(F.col("value")))
-    return placed.join(side, [*by, "bucket"]).where(F.col("value").between(F.col("low"), F.col("high")))
+    return placed.join(F.broadcast(targets), [*by, "bucket"]).where(
+        F.col("value").between(F.col("low"), F.col("high"))
+    )
 
 
 def _pick(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
@@ -99,10 +96,10 @@ def _pick(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return before.where(held)
 
 
-def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
+def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
     fine = fine_bucket(F.col("value"), F.col("low"), F.col("high"))
     counted = (
-        _inside(hist, targets, by, few_groups)
+        _inside(hist, targets, by)
         .groupBy(*by, "target", "weight", "rank", "bucket", fine.alias("fine"))
         .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
@@ -112,73 +109,61 @@ def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups:
 
 
 def _resolve(
-    hist: DataFrame,
-    targets: DataFrame,
-    by: Sequence[str],
-    named: Mapping[str, float],
-    few_groups: bool,
+    hist: DataFrame, targets: DataFrame, by: Sequence[str], named: Mapping[str, float]
 ) -> DataFrame:
-    targets = _narrow(hist, targets, by, few_groups)
-    found = _pick(_inside(hist, targets, by, few_groups), by, "value")
+    targets = _narrow(hist, targets, by)
+    found = _pick(_inside(hist, targets, by), by, "value")
     columns = []
     for i, name in enumerate(named):
         low = F.max(F.when(F.col("target") == 2 * i, F.col("value")))
         high = F.max(F.when(F.col("target") == 2 * i + 1, F.col("value")))
         weight = F.max(F.when(F.col("target") == 2 * i, F.col("weight")))
-        # Equal neighbours need no interpolation; that also keeps infinities intact.
-        columns.append(F.when(low == high, low).otherwise(low + (high - low) * weight).alias(name))
+        # Where nothing is interpolated the value itself is the answer, infinite or not.
+        exact = (weight == 0) | (low == high)
+        columns.append(F.when(exact, low).otherwise(low + (high - low) * weight).alias(name))
     return found.groupBy(*by).agg(*columns)
 
 
-def group_quantiles(
-    values: DataFrame, by: Sequence[str], named: Mapping[str, float], few_groups: bool = False
-) -> DataFrame:
-    """Exact quantiles of ``value`` per group: one row per group, one column per name.
-
-    ``few_groups`` states that the number of groups is a small constant, such as
-    a list of columns; the located ranks are then broadcast.
-    """
+def group_quantiles(values: DataFrame, by: Sequence[str], named: Mapping[str, float]) -> DataFrame:
+    """Exact quantiles of ``value`` per group: one row per group, one column per name."""
     by = list(by)
     hist = distinct_counts(values, by)
     targets = _wanted_ranks(_coarse(hist, by), by, list(named.values()))
-    return _resolve(hist, targets, by, named, few_groups)
+    return _resolve(hist, targets, by, named)
 
 
-def group_summary(values: DataFrame, by: Sequence[str], few_groups: bool = False) -> DataFrame:
+def group_summary(values: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows, sum, range, exact median and sample deviation of ``value`` per group.
 
-    The source is read once: every statistic is merged from the histogram.
+    The source is read once: every statistic comes from the one histogram.
+    Deviations are taken from the mean, not from zero, so large amounts with a
+    small spread lose no digits.
     """
     by = list(by)
     hist = distinct_counts(values, by)
     coarse = _coarse(hist, by)
-    group = Window.partitionBy(*by)
-    mean = F.sum("total").over(group) / F.sum("n").over(group)
-    # Squares are taken about the bucket edge and the mean of each bucket, not
-    # about zero, so large amounts with a small spread lose no digits.
-    inner = F.col("second") - F.col("first") * F.col("first") / F.col("n")
-    between = F.col("n") * F.pow(F.col("total") / F.col("n") - mean, F.lit(2.0))
-    moments = (
-        coarse.withColumn("squares", inner + between)
-        .groupBy(*by)
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("total").alias("total"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-            F.sum("squares").alias("squares"),
-        )
+    totals = coarse.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
     )
-    targets = _wanted_ranks(coarse, by, [0.5])
-    medians = _resolve(hist, targets, by, {"median": 0.5}, few_groups)
-    sd = F.when(F.col("low") == F.col("high"), F.lit(0.0)).when(
-        F.col("n") > 1, F.sqrt(F.greatest("squares", F.lit(0.0)) / (F.col("n") - 1))
+    means = totals.select(*by, (F.col("total") / F.col("n")).alias("mean"))
+    apart = F.col("value") - F.col("mean")
+    squares = (
+        hist.join(F.broadcast(means), by).groupBy(*by).agg(F.sum(F.col("n") * apart * apart).alias("squares"))
     )
-    return moments.join(medians, by).select(
-        *by, "n", "total", "low", "high", "median", sd.alias("deviation")
+    medians = _resolve(hist, _wanted_ranks(coarse, by, [0.5]), by, {"median": 0.5})
+    deviation = F.when(F.col("low") == F.col("high"), F.lit(0.0)).otherwise(
+        F.sqrt(F.col("squares") / (F.col("n") - 1))
+    )
+    return (
+        totals.join(F.broadcast(squares), by)
+        .join(F.broadcast(medians), by)
+        .select(*by, "n", "total", "low", "high", "median", deviation.alias("deviation"))
     )
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], named: Mapping[str, float]) -> DataFrame:
     """Exact quantiles of several columns: one row per column that has a value."""
-    return group_quantiles(melt(df, columns), ["column"], named, few_groups=True)
+    return group_quantiles(melt(df, columns), ["column"], named)

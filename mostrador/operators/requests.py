@@ -11,13 +11,13 @@ from mostrador import schema as S
 from mostrador.errors import FilterError
 from mostrador.functions.casting import to_sale_time
 from mostrador.functions.keys import canonical_uuid
-from mostrador.operators.quantiles import group_summary
+from mostrador.operators.quantiles import MAX_GROUPS, group_summary
 from mostrador.operators.summary import statistics
 from mostrador.session import cut_lineage
 
 # Distinct filter combinations joined by broadcast at once; more are answered
-# in several passes over the sales, each within this bound.
-BROADCAST_REQUESTS = 500_000
+# in several passes over the sales, each about this size.
+BROADCAST_REQUESTS = MAX_GROUPS
 
 _SPACE = " \t\n\r\x0b\x0c"
 _INTEGER = "^[+-]?[0-9]+(_[0-9]+)*$"
@@ -258,7 +258,7 @@ def batch_summary(sales: DataFrame, validated: DataFrame, measure: str = S.MEASU
     by_signature = {r["signature"]: r["count"] for r in distinct.groupBy("signature").count().collect()}
     passes = max(1, math.ceil(sum(by_signature.values()) / BROADCAST_REQUESTS))
     keyed = _sales_keys(sales, sorted(by_signature), measure) if by_signature else None
-    matched = None
+    summaries = None
     for i in range(passes if by_signature else 0):
         part = distinct
         if passes > 1:
@@ -269,12 +269,13 @@ def batch_summary(sales: DataFrame, validated: DataFrame, measure: str = S.MEASU
             .where(F.col("hasta").isNull() | (F.col("at") <= F.col("hasta")))
             .select("combination", "value")
         )
-        matched = hits if matched is None else matched.unionByName(hits)
+        answered = group_summary(hits, ["combination"])
+        summaries = answered if summaries is None else summaries.unionByName(answered)
     answers = combined.select("request_id", F.when(F.col("possible"), F.col("combination")).alias("combination"))
     fields = ("n", "total", "low", "high", "median", "deviation")
-    if matched is None:
+    if summaries is None:
         empty = {f: F.lit(None).cast("bigint" if f == "n" else "double") for f in fields}
         found = answers.withColumns(empty)
     else:
-        found = answers.join(group_summary(matched, ["combination"]), "combination", "left")
+        found = answers.join(summaries, "combination", "left")
     return found.select("request_id", *statistics(*[F.col(f) for f in fields]))

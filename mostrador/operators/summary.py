@@ -30,7 +30,7 @@ def statistics(n: Column, total: Column, low: Column, high: Column, median: Colu
 def summary(df: DataFrame, filters: Iterable[Filter] = (), measure: str = MEASURE) -> DataFrame:
     """One row with the seven statistics of ``measure`` over the rows the filters keep."""
     kept = apply_filters(df, filters)
-    found = group_summary(melt(kept, [measure]), ["column"], few_groups=True)
+    found = group_summary(melt(kept, [measure]), ["column"])
     fields = ("n", "total", "low", "high", "median", "deviation")
     # A global aggregate yields its row even when nothing was found.
     one = found.agg(*[F.max(c).alias(c) for c in fields])
