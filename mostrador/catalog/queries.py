@@ -152,7 +152,7 @@ def ingest_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "carga")
     flows.ingest(spark, tables.csv_extract(spark, sf_dir), root, strict=False)
     flows.ingest(spark, tables.csv_extract(spark, sf_dir), root, strict=False)  # finds the finished load
-    return flows.published_facts(spark, root).drop(facts.MONTH_COLUMN)
+    return flows.published_facts(spark, root).drop(*facts.LAYOUT_COLUMNS)
 
 
 # --- quality and cleaning --------------------------------------------------

@@ -28,10 +28,10 @@ def to_decimal(c: Column) -> Column:
 
 def to_integer(c: Column) -> Column:
     """Text to bigint; ``1.0`` is accepted as 1 because its value is integral."""
-    text = F.trim(c)
-    wide = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    # The second branch runs only for text that is no plain integer.
+    wide = to_decimal(c)
     integral = F.when((wide == F.floor(wide)) & (F.abs(wide) <= _EXACT_DOUBLE), wide.try_cast("bigint"))
-    return F.coalesce(F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")), integral)
+    return F.coalesce(c.try_cast("bigint"), integral)
 
 
 def to_sale_time(c: Column) -> Column:

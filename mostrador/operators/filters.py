@@ -15,7 +15,10 @@ from mostrador import schema as S
 from mostrador.errors import FilterError
 
 Filter = tuple[str, str]
+# Further columns of the stored table: the month of the sale, and the customer in
+# lower case. They repeat what other columns say in a form the scan can skip by.
 MONTH_COLUMN = "ym"
+CUSTOMER_KEY = "cliente_clave"
 _LONG = range(-(2**63), 2**63)
 
 
@@ -67,7 +70,7 @@ def _customer(name: str, value: str) -> list[Column]:
         key = str(uuid.UUID(str(value).strip()))
     except ValueError as exc:
         raise FilterError(S.MSG_UUID.format(value, S.READABLE_NAMES[name])) from exc
-    return [F.lower("codigo_cliente") == F.lit(key)]
+    return [F.lower("codigo_cliente") == F.lit(key), F.col(CUSTOMER_KEY) == F.lit(key)]
 
 
 def _bound(compare: Callable[[Column, Column], Column]) -> Callable[[str, str], list[Column]]:
@@ -76,7 +79,7 @@ def _bound(compare: Callable[[Column, Column], Column]) -> Callable[[str, str],
         text = instant.isoformat(sep=" ")
         return [
             compare(F.col("fecha"), F.lit(text).cast("timestamp_ntz")),
-            # Follows from the first; it is what prunes the monthly folders.
+            # Follows from the first; it is what skips monthly folders.
             compare(F.col(MONTH_COLUMN), F.lit(text[:7])),
         ]
 
@@ -95,10 +98,10 @@ _BUILDERS: dict[str, Callable[[str, str], list[Column]]] = {
 }
 
 
-def filter_predicate(filters: Iterable[Filter], by_month: bool = False) -> Column:
+def filter_predicate(filters: Iterable[Filter], stored: bool = False) -> Column:
     """All filters joined by AND; no filter is TRUE. Raises before any data is read.
 
-    ``by_month`` says that the data has the month column of the stored table.
+    ``stored`` says that the data has the further columns of the stored table.
     """
     parts: list[Column] = []
     for name, value in filters:
@@ -107,10 +110,10 @@ def filter_predicate(filters: Iterable[Filter], by_month: bool = False) -> Colum
         if builder is None:
             raise FilterError(S.MSG_UNKNOWN_FILTER.format(name))
         built = builder(name, value)
-        parts.extend(built if by_month else built[:1])
+        parts.extend(built if stored else built[:1])
     return reduce(and_, parts) if parts else F.lit(True)
 
 
 def apply_filters(df: DataFrame, filters: Iterable[Filter]) -> DataFrame:
     """Rows that satisfy every filter."""
-    return df.where(filter_predicate(filters, by_month=MONTH_COLUMN in df.columns))
+    return df.where(filter_predicate(filters, stored={MONTH_COLUMN, CUSTOMER_KEY} <= set(df.columns)))

@@ -164,16 +164,20 @@ def cast_columns(rows: DataFrame) -> DataFrame:
         **dict.fromkeys(S.INTEGER_COLUMNS, casting.to_integer),
         **dict.fromkeys(S.DECIMAL_COLUMNS, casting.to_decimal),
     }
-    typed, misfits = [], []
-    for c in rows.columns:
-        text = casting.blank_to_null(F.col(c)) if c in S.STANDARD_COLUMNS else F.col(c)
-        value = converters[c](text) if c in converters else text
-        typed.append(value.alias(c))
-        if c == S.SALE_TIME:
-            misfits.append(F.when(value.isNull(), F.lit(c)))
-        elif c in converters and c != S.BIRTH_DATE:
-            misfits.append(F.when(text.isNotNull() & value.isNull(), F.lit(c)))
-    return rows.select(*typed, F.array_compact(F.array(*misfits)).alias(REJECTED))
+    # Three steps, so that no text is cleaned and no value is converted twice.
+    known = [c for c in rows.columns if c in S.STANDARD_COLUMNS]
+    texts = rows.withColumns({c: casting.blank_to_null(F.col(c)) for c in known})
+    converted = [c for c in known if c in converters]
+    values = texts.withColumns({f"_{c}": converters[c](F.col(c)) for c in converted})
+    misfits = [
+        F.when(F.col(f"_{c}").isNull() & (F.col(c).isNotNull() | F.lit(c == S.SALE_TIME)), F.lit(c))
+        for c in converted
+        if c != S.BIRTH_DATE
+    ]
+    return values.select(
+        *[F.col(f"_{c}").alias(c) if c in converted else F.col(c) for c in rows.columns],
+        F.array_compact(F.array(*misfits)).alias(REJECTED),
+    )
 
 
 def accepted(typed: DataFrame) -> DataFrame:

@@ -38,6 +38,13 @@ def test_date_filters_skip_months_and_reach_the_scan(processed, folder):
     assert all(r["fecha"] >= dt.datetime(2026, 2, 1) for r in kept.collect())
 
 
+def test_customer_lookup_reaches_the_scan(processed, folder):
+    person = "550E8400-E29B-41D4-A716-000000000003"
+    kept = apply_filters(_stored(processed, folder), [("ID_PERSONA", person)])
+    assert f"EqualTo(cliente_clave,{person.lower()})" in _plan(kept)
+    assert kept.count() == 1
+
+
 def test_summary_reads_the_source_once(processed, folder):
     plan = _plan(summary(_stored(processed, folder), FLAGSHIP_FILTERS), final=True)
     final = plan[: plan.index("Initial Plan")]

@@ -153,7 +153,7 @@ def test_ingest_once(spark, write, folder):
     again = flows.ingest(spark, source, root)
     assert again == state
     stored = flows.published_facts(spark, root)
-    assert stored.columns == [*S.FACT_COLUMNS, "ym"]
+    assert stored.columns == [*S.FACT_COLUMNS, "cliente_clave", "ym"]
     assert stored.count() == 60
     assert {r[0] for r in stored.select("ym").distinct().collect()} == {"2026-01"}
     assert {r[0] for r in stored.select("frecuencia_compra").distinct().collect()} == {12}
