@@ -11,6 +11,7 @@ from mostrador.schema import NULL_TOKENS
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _INFINITY = r"(?i)^[+-]?inf(inity)?$"
 _TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
+_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 _EXACT_DOUBLE = float(2**53)
 
 
@@ -42,4 +43,4 @@ def to_sale_time(c: Column) -> Column:
 
 def to_birth_date(c: Column) -> Column:
     """Year-month-day text to date; any other form, and a time suffix, gives NULL."""
-    return F.try_to_date(c, "yyyy-M-d")
+    return F.when(c.rlike(_DATE), c.try_cast("date"))

@@ -14,7 +14,6 @@ from mostrador import schema as S
 from mostrador.errors import EmptyInputError, MissingColumnsError, UnreadableInputError
 from mostrador.functions import casting
 
-_OVERFLOW = "_overflow"
 _CORRUPT = "_corrupt"
 REJECTED = "_rechazo"
 _MARK = "\ufeff"
@@ -107,21 +106,20 @@ def check_sample(spark: SparkSession, path: str, layout: Sequence[str]) -> None:
 def _too_long(layout: Sequence[str]) -> Column:
     """More fields than the header has. Fewer are fine: the rest are NULL.
 
-    Rows are read with one spare column, so a well-formed row counts as short
-    and keeps its text, while a row that fills the spare column does not. Two or
-    more empty spare fields leave it NULL, so those are counted in the text.
+    Spark keeps the text of every row whose number of fields is not that of the
+    header, so only those rows have their fields counted.
     """
     unquoted = F.regexp_replace(F.col(_CORRUPT), f"{S.QUOTE}[^{S.QUOTE}]*{S.QUOTE}", "")
-    fields = F.size(F.split(unquoted, S.SEPARATOR))
-    return F.col(_OVERFLOW).isNotNull() | F.col(_CORRUPT).isNull() | (fields > len(layout))
+    long = F.col(_CORRUPT).isNotNull() & (F.size(F.split(unquoted, S.SEPARATOR)) > len(layout))
+    # Always true: Spark refuses to read the kept text without any column of the file.
+    return long & (F.coalesce(F.col(f"`{layout[0]}`"), F.lit("")) >= "")
 
 
 def read_rows(spark: SparkSession, path: str, layout: Sequence[str] | None = None) -> DataFrame:
-    """All lines as text columns named as in the file, plus the two columns that reveal long rows."""
-    layout = list(layout or read_layout(spark, path))
-    fields = [*layout, _OVERFLOW, _CORRUPT]
+    """All lines as text columns named as in the file, plus the text of lines of another length."""
+    fields = [*(layout or read_layout(spark, path)), _CORRUPT]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    # Pruning columns would hide which rows are too long.
+    # Pruning columns would hide how many fields a row has.
     reader = _options(
         spark,
         header="true",
@@ -132,18 +130,20 @@ def read_rows(spark: SparkSession, path: str, layout: Sequence[str] | None = Non
     return reader.schema(schema).csv(path)
 
 
+def _fields(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c != _CORRUPT]
+
+
 def skip_malformed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with at most as many fields as the header, text of the longer ones)."""
-    layout = [c for c in rows.columns if c not in (_OVERFLOW, _CORRUPT)]
+    layout = _fields(rows)
     long = _too_long(layout)
-    text = F.coalesce(F.col(_CORRUPT), F.concat_ws(S.SEPARATOR, *layout, _OVERFLOW))
-    return rows.where(~long).select(*layout), rows.where(long).select(text.alias("linea"))
+    return rows.where(~long).select(*layout), rows.where(long).select(F.col(_CORRUPT).alias("linea"))
 
 
 def malformed_counts(rows: DataFrame) -> DataFrame:
     """One row: lines kept and lines skipped for having too many fields, in one scan."""
-    layout = [c for c in rows.columns if c not in (_OVERFLOW, _CORRUPT)]
-    long = _too_long(layout)
+    long = _too_long(_fields(rows))
     return rows.agg(F.count_if(~long).alias("kept"), F.count_if(long).alias("skipped"))
 
 
