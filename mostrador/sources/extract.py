@@ -195,11 +195,21 @@ def require_no_rejects(typed: DataFrame) -> None:
         raise UnreadableInputError(f"values do not fit columns {sorted(first[0])}")
 
 
+def _headers_differ(spark: SparkSession, path: str) -> bool:
+    """Fields are bound by position, so files that order them otherwise must be told apart."""
+    if input_manifest(spark, path).limit(2).count() < 2:
+        return False
+    return file_headers(spark, path).select("header").distinct().limit(2).count() > 1
+
+
 def typed_rows(spark: SparkSession, path: str, layout: Sequence[str] | None = None) -> DataFrame:
     """Checked, renamed and typed rows with their misfit list, malformed lines skipped."""
     require_input(spark, path)
+    given = layout
     layout = list(layout or read_layout(spark, path))
     check_sample(spark, path, layout)
+    if given is None and _headers_differ(spark, path):
+        return read_mixed_extract(spark, path)
     good, _ = skip_malformed(read_rows(spark, path, layout))
     return cast_columns(rename_standard(good))
 

@@ -109,6 +109,8 @@ def test_columns_may_come_in_any_order_and_more_of_them(spark, write, tmp_path):
     write([_line(8)], "d/dos.csv")
     both = extract.read_mixed_extract(spark, str(tmp_path / "d"))
     assert sorted(r["BOLETA"] for r in both.collect()) == [7, 8]
+    told_apart = extract.typed_rows(spark, str(tmp_path / "d"))
+    assert sorted(r["BOLETA"] for r in told_apart.collect()) == [7, 8]
     assert extract.schema_check(spark, str(tmp_path / "d")).isEmpty()
     write(["x;y"], "d/tres.csv", "FECHA;CANAL")
     assert extract.schema_check(spark, str(tmp_path / "d")).count() == 13
