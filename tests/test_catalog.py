@@ -11,6 +11,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import compare  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from mostrador.catalog.oracle import ORACLE  # noqa: E402
+from mostrador.catalog.queries import QUERIES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,15 +25,16 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, db, name):
     verdict, _ = compare.compare(spark, db, SF_DIR, name)
     assert verdict.startswith(("ok", "rows-only")), verdict
 
 
 def test_every_query_but_the_manifest_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"input_manifest"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == {"input_manifest"}
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
 def test_flagship_has_one_row(spark):
