@@ -20,13 +20,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mostrador.llm.memo import Memo
 
 _NONE = 1 << 62
 _TOGETHER = 1_000  # texts whose unknown words are encoded at once
+_SLICE = 500  # texts handed back at once
 # The pattern of the word vocabulary's pre-tokenizer; white space is dropped.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _CHUNK = regex.compile(r"[^\s]+")
@@ -221,32 +222,44 @@ class WordEncoder:
         self._special = regex.compile("|".join(map(regex.escape, self.table.specials)))
         self._chunks = Memo(self._merge_chunks)
 
-    def _pieces(self, text: str) -> list[str]:
-        # Letters are lowered one by one, so a final sigma has no form of its own.
-        return _PIECE.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-
-    def _parts(self, chunk: str) -> list[str]:
-        """The pieces of a chunk; special tokens stand between them as they are."""
-        if "<|" not in chunk:
-            return self._pieces(chunk)
+    @staticmethod
+    def _folded_chunks(text: str) -> list[str]:
+        if not text.isascii():
+            # Letters are lowered one by one, so a final sigma has no form of its own.
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return chunks_of(text.lower())
+
+    def _keys(self, text: str | None) -> list[str]:
+        """The folded chunks of a text; special tokens stand between them behind a blank, which no chunk holds."""
+        if not text:
+            return []
+        if "<|" not in text:
+            return self._folded_chunks(text)
         out, start = [], 0
-        for found in self._special.finditer(chunk):
-            out += [*self._pieces(chunk[start : found.start()]), found[0]]
+        for found in self._special.finditer(text):
+            out += [*self._folded_chunks(text[start : found.start()]), " " + found[0]]
             start = found.end()
-        return out + self._pieces(chunk[start:])
+        return out + self._folded_chunks(text[start:])
+
+    def _parts(self, chunk: str) -> list[str]:
+        if chunk.isalpha():
+            return [chunk]
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return [chunk] if chunk[0] == " " else _PIECE.findall(chunk)
 
     def _merge_chunks(self, chunks: list[str]) -> Iterator[bytes]:
-        parts = [self._parts(c) for c in chunks]
-        distinct = list(set().union(*parts).difference(self.table.specials)) if parts else []
-        ids = dict(zip(distinct, self.table.merge_all([p.encode() for p in distinct])))
-        ids |= {text: np.array([n], "<i4").tobytes() for text, n in self.table.specials.items()}
+        parts = list(map(self._parts, chunks))
+        ids = {" " + text: np.array([n], "<i4").tobytes() for text, n in self.table.specials.items()}
+        distinct = list(set().union(*parts).difference(ids))
+        ids.update(zip(distinct, self.table.merge_all([p.encode() for p in distinct])))
         return (b"".join(map(ids.__getitem__, p)) for p in parts)
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         out = []
         for at in range(0, len(texts), _TOGETHER):
-            out += self._chunks.joined([chunks_of(t) if t else [] for t in texts[at : at + _TOGETHER]])
+            out += self._chunks.joined(list(map(self._keys, texts[at : at + _TOGETHER])))
         return out
 
     def decode(self, ids: list[int] | None) -> str:
@@ -293,3 +306,19 @@ def decode(ids: Column, vocabulary: str) -> Column:
             yield pa.array([encoder.decode(x.as_py() if x.is_valid else None) for x in batch], pa.string())
 
     return texts(ids)
+
+
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``doc_id, ids, decoded`` of every whole text, encoded and decoded again in one pass over small batches."""
+    key = docs.schema["doc_id"].dataType.simpleString()
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_encoder(vocabulary)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _SLICE):
+                rows = batch.slice(at, _SLICE)
+                ids = encoder.encode_many(rows.column(1).to_pylist())
+                decoded = pa.array([encoder.decode(np.frombuffer(x, "<i4").tolist()) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([rows.column(0), id_lists(ids), decoded], ["doc_id", "ids", "decoded"])
+
+    return docs.select("doc_id", "text").mapInArrow(both, f"doc_id {key}, ids array<int>, decoded string")

@@ -36,7 +36,10 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _RUN = regex.compile(r"\s{2,}(?=\S)")
 # White space and what follows a single space, split without looking at letters; no piece spans two of these.
 _CHUNK = re.compile(" ?[^{0}]+|[{0}]+(?![^{0}])|[{0}]+".format("\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"))
-_TOGETHER = 500  # texts whose unknown words are counted at once
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+_PAIR_BITS = 21
+_TOGETHER = 2_000  # texts whose unknown words are counted at once
 _LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
@@ -48,53 +51,101 @@ class PrefixCounter:
         self._token = {spelled: n for n, spelled in self._bytes.items()}
         self._longest = max(map(len, self._token))
         self._special = regex.compile("|".join(map(regex.escape, self.table.specials)))
-        self._unmerged: dict[int, bool] = {}
+        spelled = sorted(self._token)
+        self._powers = np.full(self._longest + 1, _BASE, np.uint64)
+        self._powers[0] = 1
+        self._powers = np.cumprod(self._powers, dtype=np.uint64)
+        hashes = np.array([self._hash_of(x) for x in spelled], np.uint64)
+        order = np.argsort(hashes)
+        self._hash = hashes[order]
+        if (self._hash[1:] == self._hash[:-1]).any():
+            raise ValueError("two tokens have one hash: choose another base")
+        self._id = np.array([self._token[x] for x in spelled], np.int64)[order]
+        self._size = np.array([len(x) for x in spelled], np.int64)[order]
+        self._seen = np.zeros(1 << 20, bool)
+        self._seen[self._hash >> np.uint64(44)] = True
+        self._pair = np.full(1 << _PAIR_BITS, -1, np.int64)
+        self._pair_stays = np.zeros(1 << _PAIR_BITS, bool)
         self._changes = Memo(self._all_changes)
 
-    def _stays(self, left: int, right: int) -> bool:
-        """Whether ``left`` followed by ``right`` is what the encoder makes of their bytes."""
-        pair = left * self.table.width + right
-        known = self._unmerged.get(pair)
-        if known is None:
-            before = self._bytes[left] if left >= 0 else b""
-            found = self.table.merge(self.table.symbols(before + self._bytes[right]))
-            known = found == ([left, right] if left >= 0 else [right])
-            if len(self._unmerged) >= 600_000:
-                self._unmerged.clear()
-            self._unmerged[pair] = known
-        return known
-
-    def _extend(self, piece: bytes, counts: list[int], last: list[int]) -> None:
-        """Carry the counts and last tokens of a piece's first bytes on to its end."""
-        token, stays = self._token.get, self._stays
-        for end in range(len(counts), len(piece) + 1):
-            for start in range(max(0, end - self._longest), end):
-                candidate = token(piece[start:end])
-                if candidate is not None and stays(last[start], candidate):
-                    counts.append(counts[start] + 1)
-                    last.append(candidate)
-                    break
+    @staticmethod
+    def _hash_of(spelled: bytes) -> int:
+        value = 0
+        for b in spelled:
+            value = (value * int(_BASE) + b + 1) & 0xFFFFFFFFFFFFFFFF
+        return value
+
+    def _stay(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each ``left`` (-1: nothing) followed by ``right`` is what the encoder makes of their bytes."""
+        pair = (left + 1) * self.table.width + right
+        slot = (pair.astype(np.uint64) * _ODD) >> np.uint64(64 - _PAIR_BITS)
+        out = self._pair_stays[slot]
+        missing = np.flatnonzero(self._pair[slot] != pair)
+        if len(missing):
+            new, back = np.unique(pair[missing], return_inverse=True)
+            lefts, rights = (new // self.table.width - 1).tolist(), (new % self.table.width).tolist()
+            spelled = [(self._bytes[a] if a >= 0 else b"") + self._bytes[b] for a, b in zip(lefts, rights)]
+            wanted = [np.array([a, b] if a >= 0 else [b], "<i4").tobytes() for a, b in zip(lefts, rights)]
+            known = np.array([x == y for x, y in zip(self.table.merge_all(spelled), wanted)])
+            out[missing] = known[back]
+            # One entry per slot, the latest: memory is fixed, and a lost entry is computed again.
+            self._pair[slot[missing]], self._pair_stays[slot[missing]] = pair[missing], known[back]
+        return out
+
+    def _counts_in_step(self, pieces: list[bytes], n: int) -> np.ndarray:
+        """Token counts of all prefixes of pieces of one length, a row for each piece."""
+        raw = np.frombuffer(b"".join(pieces), np.uint8).reshape(-1, n)
+        rows = len(pieces)
+        hashes = np.zeros((rows, n + 1), np.uint64)
+        for i in range(n):
+            hashes[:, i + 1] = hashes[:, i] * _BASE + (raw[:, i] + np.uint64(1))
+        counts = np.zeros((rows, n + 1), np.int32)
+        last = np.full((rows, n + 1), -1, np.int64)
+        for end in range(1, n + 1):
+            low = max(0, end - self._longest)
+            sizes = end - np.arange(low, end)
+            own = hashes[:, end, None] - hashes[:, low:end] * self._powers[sizes]
+            candidate = np.full(own.shape, -1, np.int64)
+            row, column = np.nonzero(self._seen[own >> np.uint64(44)])
+            wanted = own[row, column]
+            at = np.minimum(np.searchsorted(self._hash, wanted), len(self._hash) - 1)
+            same = (self._hash[at] == wanted) & (self._size[at] == sizes[column])
+            candidate[row[same], column[same]] = self._id[at[same]]
+            open_, waiting = candidate >= 0, np.arange(rows)
+            while len(waiting):
+                first = open_[waiting].argmax(1)  # the longest candidate left
+                token = candidate[waiting, first]
+                fits = self._stay(last[waiting, low + first], token)
+                done = waiting[fits]
+                counts[done, end] = counts[done, low + first[fits]] + 1
+                last[done, end] = token[fits]
+                waiting, first = waiting[~fits], first[~fits]
+                open_[waiting, first] = False
+        return counts
 
     def byte_counts(self, piece: bytes) -> list[int]:
         """Token counts of the prefixes of 0, 1, ... bytes of one piece."""
-        counts, last = [0], [-1]
-        self._extend(piece, counts, last)
-        return counts
+        return self._counts_in_step([piece], len(piece))[0].tolist() if piece else [0]
 
     def _all_changes(self, chunks: list[str]) -> Iterator[bytes]:
-        """The changes of each chunk; its pieces are taken in order, so that shared beginnings are computed once."""
+        """The changes of each chunk, from those of its pieces; pieces of one length are counted in step."""
         parts = [_PIECE.findall(c) for c in chunks]
+        by_length: dict[int, list[tuple[bytes, str]]] = {}
+        for piece in set().union(*parts):
+            raw = piece.encode()
+            by_length.setdefault(len(raw), []).append((raw, piece))
         known: dict[str, bytes] = {}
-        counts, last, previous = [0], [-1], b""
-        for raw, piece in sorted((p.encode(), p) for p in set().union(*parts)):
-            shared = 0
-            for x, y in zip(raw, previous):
-                if x != y:
-                    break
-                shared += 1
-            del counts[shared + 1 :], last[shared + 1 :]
-            self._extend(raw, counts, last)
-            previous, known[piece] = raw, self._at_characters(piece, raw, counts)
+        for n, members in by_length.items():
+            together = max(1, min(4096, 200_000 // n))
+            for at in range(0, len(members), together):
+                some = members[at : at + together]
+                counts = self._counts_in_step([raw for raw, _ in some], n)
+                changes = np.diff(counts, axis=1).astype(np.int8)
+                for k, (raw, piece) in enumerate(some):
+                    if len(piece) == n and piece not in _LONG_CONTRACTIONS:
+                        known[piece] = changes[k].tobytes()
+                    else:
+                        known[piece] = self._at_characters(piece, raw, counts[k].tolist())
         return (b"".join(map(known.__getitem__, p)) for p in parts)
 
     @staticmethod

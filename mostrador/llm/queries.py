@@ -5,10 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.llm import bpe, orc_tokens, prefix_tokens
+from mostrador.llm import (
+    arc_warc,
+    bpe,
+    decontaminate,
+    fingerprints,
+    orc_tokens,
+    prefix_tokens,
+    toxicity,
+    zstd_quality,
+)
 from mostrador.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +33,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), WORDS).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", bpe.decode(F.col("ids"), WORDS).alias("decoded"))
-    return decoded.select(
+    return bpe.round_trip(docs, WORDS).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
@@ -34,11 +41,55 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return fingerprints.edited_fingerprints(docs, fingerprints.fit_rarity(docs))
+
+
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "archives")
+    arc_warc.write_arc(_table(spark, sf_dir, "pages"), f"{folder}/arc")
+    arc_warc.write_warc(arc_warc.convert(arc_warc.read_arc(spark, f"{folder}/arc")), f"{folder}/warc")
+    records = arc_warc.read_warc(spark, f"{folder}/warc", with_payload=False)
+    return arc_warc.referred_pages(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = prefix_tokens.prefix_table(_table(spark, sf_dir, "documents"), BYTES)
     return table.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+def _training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").where(~_held_out())
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _training_labels(spark, sf_dir))
+    scored = docs.select("doc_id", _held_out().alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = zstd_quality.fit(docs, _training_labels(spark, sf_dir))
+    scored = docs.select("doc_id", _held_out().alias("held_out"), zstd_quality.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     orc_tokens.write_tokens(_table(spark, sf_dir, "documents"), folder, WORDS)
@@ -48,7 +99,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_arc_to_warc": op3_arc_to_warc,
     "op4_token_counts": op4_token_counts,
+    "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
+    "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
 }
-
