@@ -5,6 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 
 
+class _Known(dict):
+    """Asked for an unknown key, it notes the key and answers with nothing."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.unknown: list[str] = []
+
+    def __missing__(self, key: str) -> bytes:
+        self.unknown.append(key)
+        return b""
+
+
 class Memo:
     """Results of ``compute`` for the last ``limit`` to ``2 * limit`` keys asked for.
 
@@ -14,31 +26,32 @@ class Memo:
     bounded whatever the text, and frequent words stay.
     """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], limit: int = 300_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], limit: int = 220_000) -> None:
         self._compute, self._limit = compute, limit
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._young, self._old = _Known(), _Known()
 
     def joined(self, lists: Sequence[list[str]]) -> list[bytes]:
         """For each list of keys, its results put together."""
-        young, old = self._young, self._old
-        wanted = set().union(*lists).difference(young)
-        passing: dict[str, bytes] = {}  # too long to be kept
-        if wanted:
-            unknown = []
-            for key in wanted:
-                if (known := old.get(key)) is None:
-                    unknown.append(key)
-                else:
-                    young[key] = known
-            for key, value in zip(unknown, self._compute(unknown)):
+        young = self._young
+        out, again = [], []
+        for place, keys in enumerate(lists):
+            before = len(young.unknown)
+            out.append(b"".join(map(young.__getitem__, keys)))
+            if len(young.unknown) > before:
+                again.append(place)
+        if again:
+            wanted, passing = set(young.unknown), []
+            young.unknown.clear()
+            young.update((key, self._old[key]) for key in wanted & self._old.keys())
+            new = list(wanted - young.keys())
+            for key, value in zip(new, self._compute(new)):
+                young[key] = value
                 if len(key) > 64:
-                    passing[key] = value
-                else:
-                    young[key] = value
-        if passing:
-            young = {**young, **passing}
-        out = [b"".join(map(young.__getitem__, keys)) for keys in lists]
-        if len(self._young) >= self._limit:
-            self._old, self._young = self._young, {}
+                    passing.append(key)
+            for place in again:
+                out[place] = b"".join(map(young.__getitem__, lists[place]))
+            for key in passing:  # too long to be kept
+                del young[key]
+        if len(young) >= self._limit:
+            self._old, self._young = young, _Known()
         return out

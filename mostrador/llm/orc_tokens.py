@@ -29,7 +29,7 @@ from mostrador.llm.bpe import id_lists, word_encoder
 END_ID = 2
 ROWS_PER_INDEX = 1_000
 STRIPE_BYTES = 16 << 20
-_SLICE = 2_000  # documents encoded at once
+_SLICE = 1_000  # documents encoded at once
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> None:
@@ -58,6 +58,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = EN
     (
         ordered.mapInArrow(encoded, f"doc_id {key}, part int, before bigint, n_tokens bigint, ids array<int>")
         .write.mode("overwrite")
+        .option("compression", "lz4")  # the run-length encoding has done most of it
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", str(ROWS_PER_INDEX))

@@ -13,6 +13,8 @@ from mostrador.llm import (
     bpe,
     decontaminate,
     fingerprints,
+    lpf_dedup,
+    near_dup,
     orc_tokens,
     prefix_tokens,
     toxicity,
@@ -27,7 +29,12 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 
 
+# Documents and pages are long rows; by default Spark hands Python 10,000 at a time.
+ROWS_TO_PYTHON = 1_000
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_TO_PYTHON))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -80,6 +87,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 QUALITY_THRESHOLD = 0.3
 
 
@@ -97,6 +108,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "start", "n_tokens", orc_tokens.ids_crc32(F.col("ids")).alias("ids_crc32"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lpf_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_fingerprints": op2_fingerprints,
@@ -104,6 +126,8 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
+    "op10_repeated_passages": op10_repeated_passages,
 }
