@@ -5,12 +5,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mostrador.llm import bpe, decontaminate, lpf_dedup, near_dup, queries, zstd_quality
 from mostrador.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject. Fitted on the labelled rows among ``docs``."""
+    queries.long_rows(spark)
+    model = zstd_quality.fit(docs, queries.training_labels(spark, sf_dir))
+    return docs.where(zstd_quality.score(F.col("text"), model) >= queries.QUALITY_THRESHOLD)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one with the least id. Rows without an id stay."""
+    queries.long_rows(spark)
+    gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document, or place, has already; whole characters go."""
+    queries.long_rows(spark)
+    cut = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True)
+    text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
+    cut = cut.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    queries.long_rows(spark)
+    return decontaminate.without_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, their number, and a digest of the text decoded from them."""
+    queries.long_rows(spark)
+    coded = bpe.round_trip(docs, queries.WORDS, keep=("doc_id", "lang", "source"))
+    return coded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("benchmark decontamination", decontamination),
+    ("BPE encoding and decoding", encoding),
+]
 
 # Models, edit distances and suffix order are beyond SQL; the stages are tested against brute force instead.
 ORACLE_SQL: str | None = None

@@ -308,17 +308,18 @@ def decode(ids: Column, vocabulary: str) -> Column:
     return texts(ids)
 
 
-def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """``doc_id, ids, decoded`` of every whole text, encoded and decoded again in one pass over small batches."""
-    key = docs.schema["doc_id"].dataType.simpleString()
+def round_trip(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``ids, decoded`` of every whole text beside the columns to ``keep``, in one pass over small batches."""
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
                 rows = batch.slice(at, _SLICE)
-                ids = encoder.encode_many(rows.column(1).to_pylist())
+                ids = encoder.encode_many(rows.column(len(keep)).to_pylist())
                 decoded = pa.array([encoder.decode(np.frombuffer(x, "<i4").tolist()) for x in ids], pa.string())
-                yield pa.RecordBatch.from_arrays([rows.column(0), id_lists(ids), decoded], ["doc_id", "ids", "decoded"])
+                own = rows.columns[: len(keep)]
+                yield pa.RecordBatch.from_arrays([*own, id_lists(ids), decoded], [*keep, "ids", "decoded"])
 
-    return docs.select("doc_id", "text").mapInArrow(both, f"doc_id {key}, ids array<int>, decoded string")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(*keep, "text").mapInArrow(both, f"{kinds}, ids array<int>, decoded string")

@@ -256,6 +256,8 @@ def _in_order(rows: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[1] == held[-1][1]:
+                    continue  # the same surroundings, from a row that is there twice
                 if len(held) >= _TOGETHER and row[0] != held[-1][0]:
                     yield settle(held)
                     held = []
@@ -283,8 +285,7 @@ def _settled(spark, folder: str, rows: DataFrame, texts: DataFrame, width: int |
     # One text of each different surroundings gives its bytes.
     wanted = kinds.join(several, "key").select("first.id", "first.rid", "first.place", "low", "high", "key", "number", "first")
     listed = wanted.groupBy("id", "rid").agg(F.collect_list(F.struct("place", "low", "high", "key")).alias("listed"))
-    once = texts.dropDuplicates(["id", "rid"])
-    bytes_ = _surroundings(once.drop("listed").join(listed, ["id", "rid"]), None, length, whole=True)
+    bytes_ = _surroundings(texts.drop("listed").join(listed, ["id", "rid"]), None, length, whole=True)
     numbered = bytes_.join(wanted, ["id", "rid", "place", "low", "high", "key"])
     dealt = numbered.repartition(parts, "key").sortWithinPartitions("key", "number")
     _in_order(dealt, length).write.parquet(f"{folder}/found")
@@ -350,10 +351,26 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, keep_first: bool = False) -> DataFrame:
+def whole_characters_of(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans without the parts of characters at their ends."""
+    out = []
+    for start, end in spans:
+        while start < end and text[start] & 0xC0 == 0x80:
+            start += 1
+        while end > start and end < len(text) and text[end] & 0xC0 == 0x80:
+            end -= 1
+        if start < end:
+            out.append((start, end))
+    return out
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, keep_first: bool = False, whole_characters: bool = False
+) -> DataFrame:
     """All columns of ``docs``, with ``kept`` (the bytes left), ``n_bytes`` and ``spans`` (start and end of what went).
 
-    ``keep_first`` leaves the first copy of each string, by id and place, and removes the later ones.
+    ``keep_first`` leaves the first copy of each string, by id and place, and removes the later
+    ones; ``whole_characters`` leaves characters whole of which only a part repeats.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "repeats")
@@ -374,6 +391,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             kept, gone = [], []
             for text, own_ in zip(texts_.to_pylist(), cuts.to_pylist()):
                 spans_ = merged([(c["start"], c["end"]) for c in own_ or []])
+                if whole_characters:
+                    spans_ = whole_characters_of(text, spans_)
                 edges = [0, *(x for s in spans_ for x in s), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2])))
                 gone.append([{"start": a, "end": b} for a, b in spans_])

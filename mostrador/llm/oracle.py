@@ -1,5 +1,88 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+Tokenizers, fitted models, fingerprints and edit distances are beyond it; those queries
+are tested against the public library, brute force or held-out labels in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_PAGES = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+    SELECT page_id, html, array_to_string(list_transform(range(1, 41), lambda k: right('0000' || bin(instr('0123456789abcdef', hex[k]) - 1), 4)), '') AS bits
+    FROM payloads
+), digests AS (
+    SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS best,
+        array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + 16 * bits[5 * k + 1]::INT + 8 * bits[5 * k + 2]::INT + 4 * bits[5 * k + 3]::INT + 2 * bits[5 * k + 4]::INT + bits[5 * k + 5]::INT, 1)), '') AS digest
+    FROM bits
+)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, digest AS payload_digest,
+    CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> best THEN best END AS refers_to, true AS intact
+FROM digests
+"""
+
+_NEAR = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, unnest(s) AS g FROM sets
+), common AS MATERIALIZED (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT u, v FROM common JOIN sets a ON a.doc_id = u JOIN sets b ON b.doc_id = v
+    WHERE 100 * c >= 80 * (len(a.s) + len(b.s) - c)
+), steps AS MATERIALIZED (
+    SELECT u, v FROM links UNION SELECT v, u FROM links
+), reached(doc_id, c) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION
+    SELECT steps.v, reached.c FROM reached JOIN steps ON steps.u = reached.doc_id WHERE steps.v > reached.c
+), least AS (
+    SELECT doc_id, min(c) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""
+
+_REPEATS = """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), blocks AS (
+    SELECT doc_id, start, least(1000, n - 399 - start) AS m, substr(h, 2 * start + 1, 2 * 1399) AS part
+    FROM (SELECT doc_id, h, n, unnest(range(0, greatest(n - 399, 0), 1000)) AS start FROM texts)
+), strings AS MATERIALIZED (
+    SELECT doc_id, start + q AS p, md5(substr(part, 2 * q + 1, 800)) AS k
+    FROM (SELECT doc_id, start, part, unnest(range(0, m)) AS q FROM blocks)
+), repeated AS (
+    SELECT doc_id, p FROM strings WHERE k IN (SELECT k FROM strings GROUP BY k HAVING count(*) > 1)
+), numbered AS (
+    SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (
+        SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 400 THEN 0 ELSE 1 END AS fresh FROM repeated)
+), runs AS (
+    SELECT doc_id, min(p) AS a, max(p) + 400 AS b FROM numbered GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+), cut AS (
+    SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+        string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(CASE WHEN last IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_arc_to_warc": _PAGES,
+    "op7_near_duplicates": _NEAR,
+    "op10_repeated_passages": _REPEATS,
+}

@@ -33,8 +33,12 @@ TOKEN_LIMIT = 512
 ROWS_TO_PYTHON = 1_000
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def long_rows(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_TO_PYTHON))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    long_rows(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -72,13 +76,13 @@ def _held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
 
-def _training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").where(~_held_out())
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, _training_labels(spark, sf_dir))
+    model = toxicity.fit(docs, training_labels(spark, sf_dir))
     scored = docs.select("doc_id", _held_out().alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -96,7 +100,7 @@ QUALITY_THRESHOLD = 0.3
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = zstd_quality.fit(docs, _training_labels(spark, sf_dir))
+    model = zstd_quality.fit(docs, training_labels(spark, sf_dir))
     scored = docs.select("doc_id", _held_out().alias("held_out"), zstd_quality.score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
 

@@ -5,7 +5,7 @@ into blocks of ``BLOCK`` bytes, so that it cannot hide behind its own repetition
 block is compressed with either dictionary. The difference of the sizes over the length is
 the text's margin; a logistic curve fitted on labelled rows that built no dictionary turns
 margins into calibrated scores. The length takes part in the curve, as short texts have
-noisier margins.
+noisier margins, and so does the share of bytes left, as little is left of spam.
 
 The fit uses at most ``max_rows`` labelled rows of each kind, chosen by a hash of their ids:
 half of them for the dictionaries, with at most ``SAMPLE_CHARS`` characters of each, and half
@@ -38,7 +38,7 @@ _SPLIT_SEED = 23
 class QualityModel:
     good: bytes
     bad: bytes
-    #: Coefficients of the curve: constant, margin, worst margin, log length.
+    #: Coefficients of the curve: constant, margin, worst margin, share left by the better dictionary, log length.
     curve: tuple[float, ...]
     constant: float | None = None
 
@@ -68,20 +68,22 @@ class Margins:
             level=LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False
         )
 
-    def of(self, text: str | None) -> tuple[float, float, float]:
-        """Margin of the whole text, of its worst block, and the logarithm of its length."""
+    def of(self, text: str | None) -> tuple[float, float, float, float]:
+        """Margin of the whole text and of its worst block, the share of bytes left, and the logarithm of its length."""
         data = (text or "").encode()
         if not data:
-            return 0.0, 0.0, 0.0
+            return 0.0, 0.0, 1.0, 0.0
         with_good, with_bad = self._pair
-        total, worst = 0, 9.0
+        total, left, worst = 0, 0, 9.0
         for i in range(0, len(data), BLOCK):
             block = data[i : i + BLOCK]
-            gain = len(with_bad.compress(block)) - len(with_good.compress(block))
+            bad, good = len(with_bad.compress(block)), len(with_good.compress(block))
+            gain = bad - good
             total += gain
+            left += min(bad, good)
             # A short last block says little.
             worst = min(worst, gain / max(len(block), BLOCK // 2))
-        return total / len(data), worst, float(np.log1p(len(data)))
+        return total / len(data), worst, left / len(data), float(np.log1p(len(data)))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
@@ -109,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     y = np.array([r["y"] for r in margins], np.float64)
     if not len(y) or y.min() == y.max():
         return QualityModel(good, bad, (), rate)
-    x = np.array([(r["margin"], r["worst"], r["length"]) for r in margins])
+    x = np.array([(r["margin"], r["worst"], r["left"], r["length"]) for r in margins])
     # Kinds are taken in equal numbers; weights bring back their shares among the labels.
     weight = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
     return QualityModel(good, bad, tuple(_logistic(x, y, weight)))
@@ -134,14 +136,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
 
 
 def margin(text: Column, good: bytes, bad: bytes) -> Column:
-    """``struct<margin, worst, length>`` of each whole text."""
+    """``struct<margin, worst, left, length>`` of each whole text."""
 
-    @F.arrow_udf("struct<margin: double, worst: double, length: double>")
+    @F.arrow_udf("struct<margin: double, worst: double, left: double, length: double>")
     def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         margins = Margins(good, bad)
         for batch in batches:
-            found = np.array([margins.of(t) for t in batch.to_pylist()], np.float64).reshape(-1, 3)
-            yield pa.StructArray.from_arrays([pa.array(c) for c in found.T], ["margin", "worst", "length"])
+            found = np.array([margins.of(t) for t in batch.to_pylist()], np.float64).reshape(-1, 4)
+            yield pa.StructArray.from_arrays([pa.array(c) for c in found.T], ["margin", "worst", "left", "length"])
 
     return measured(text)
 
@@ -155,7 +157,7 @@ def score(text: Column, model: QualityModel) -> Column:
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         margins, curve = Margins(model.good, model.bad), np.array(model.curve)
         for batch in batches:
-            found = np.array([margins.of(t) for t in batch.to_pylist()], np.float64).reshape(-1, 3)
+            found = np.array([margins.of(t) for t in batch.to_pylist()], np.float64).reshape(-1, 4)
             yield pa.array(1 / (1 + np.exp(-np.clip(curve[0] + found @ curve[1:], -30, 30))))
 
     return scored(text)
