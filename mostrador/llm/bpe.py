@@ -71,6 +71,13 @@ class MergeTable:
         self._pairs, self._numbers = pairs[order], numbers[order]
         self._merged = np.array(self.merged, np.int64)
         self._inner, self._last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        # The merge that makes each token (-1: none) and what it joins.
+        self.made_by = np.full(self.width, -1, np.int64)
+        self.left, self.right = np.full(self.width, -1, np.int64), np.full(self.width, -1, np.int64)
+        in_order = np.empty(len(pairs), np.int64)
+        in_order[numbers] = pairs
+        self.made_by[self._merged] = np.arange(len(in_order))
+        self.left[self._merged], self.right[self._merged] = in_order // self.width, in_order % self.width
 
     def symbols(self, piece: bytes) -> list[int]:
         inner = self.inner
@@ -136,6 +143,32 @@ class MergeTable:
         at = np.minimum(np.searchsorted(self._pairs, wanted), len(self._pairs) - 1)
         return np.where(self._pairs[at] == wanted, self._numbers[at] * n + place, _NONE)
 
+    def stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the encoder leaves each pair of tokens as it is, where either token is its own encoding.
+
+        The merges of both sides are undone, latest first, down to single symbols. The pair is
+        broken if the symbols at the border could have merged before either was used up.
+        """
+        apart = np.ones(len(left), bool)
+        never = np.int64(len(self.merged))
+        rows, x, y = np.arange(len(left)), left.copy(), right.copy()
+        x_used, y_used = np.full(len(left), never), np.full(len(left), never)
+        while len(rows):
+            wanted = x * self.width + y
+            at = np.minimum(np.searchsorted(self._pairs, wanted), len(self._pairs) - 1)
+            rank = np.where(self._pairs[at] == wanted, self._numbers[at], never)
+            # Of two places for one merge the left one goes first.
+            merges = (rank < x_used) & (rank <= y_used) & (rank < never)
+            apart[rows[merges]] = False
+            of_x, of_y = self.made_by[x], self.made_by[y]
+            going = ~merges & ((of_x >= 0) | (of_y >= 0))
+            undo_x = (of_x > of_y)[going]
+            rows, of_x, of_y, x, y = rows[going], of_x[going], of_y[going], x[going], y[going]
+            x_used = np.where(undo_x, of_x, x_used[going])
+            y_used = np.where(undo_x, y_used[going], of_y)
+            x, y = np.where(undo_x, self.right[x], x), np.where(undo_x, y, self.left[y])
+        return apart
+
     def merge_all(self, pieces: list[bytes]) -> list[bytes]:
         """``merge`` of many pieces, as little-endian 32-bit ids; pieces of one length go through their trees in step."""
         out: list[bytes] = [b""] * len(pieces)

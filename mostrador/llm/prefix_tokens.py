@@ -34,6 +34,7 @@ from mostrador.llm.memo import Memo
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # A run of white space whose last character goes to what follows, or stands alone.
 _RUN = regex.compile(r"\s{2,}(?=\S)")
+_TWO = re.compile(r"\s\s")  # a quick look whether there can be one
 # White space and what follows a single space, split without looking at letters; no piece spans two of these.
 _CHUNK = re.compile(" ?[^{0}]+|[{0}]+(?![^{0}])|[{0}]+".format("\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -64,6 +65,10 @@ class PrefixCounter:
         self._size = np.array([len(x) for x in spelled], np.int64)[order]
         self._seen = np.zeros(1 << 20, bool)
         self._seen[self._hash >> np.uint64(44)] = True
+        # Tokens that the encoder makes of their own bytes; others never come up.
+        self._whole = np.zeros(self.table.width, bool)
+        for token, ids in zip(self._token.values(), self.table.merge_all(list(self._token))):
+            self._whole[token] = ids == np.array([token], "<i4").tobytes()
         self._pair = np.full(1 << _PAIR_BITS, -1, np.int64)
         self._pair_stays = np.zeros(1 << _PAIR_BITS, bool)
         self._changes = Memo(self._all_changes)
@@ -83,10 +88,10 @@ class PrefixCounter:
         missing = np.flatnonzero(self._pair[slot] != pair)
         if len(missing):
             new, back = np.unique(pair[missing], return_inverse=True)
-            lefts, rights = (new // self.table.width - 1).tolist(), (new % self.table.width).tolist()
-            spelled = [(self._bytes[a] if a >= 0 else b"") + self._bytes[b] for a, b in zip(lefts, rights)]
-            wanted = [np.array([a, b] if a >= 0 else [b], "<i4").tobytes() for a, b in zip(lefts, rights)]
-            known = np.array([x == y for x, y in zip(self.table.merge_all(spelled), wanted)])
+            lefts, rights = new // self.table.width - 1, new % self.table.width
+            known = self._whole[rights] & ((lefts < 0) | self._whole[lefts])
+            two = np.flatnonzero(known & (lefts >= 0))
+            known[two] = self.table.stay_apart(lefts[two], rights[two])
             out[missing] = known[back]
             # One entry per slot, the latest: memory is fixed, and a lost entry is computed again.
             self._pair[slot[missing]], self._pair_stays[slot[missing]] = pair[missing], known[back]
@@ -159,6 +164,8 @@ class PrefixCounter:
 
     def _with_runs(self, text: str, changes: bytes) -> bytes:
         fixed = None
+        if not _TWO.search(text):
+            return changes
         for run in _RUN.finditer(text):
             # Ending at the run's last character, a prefix takes the whole run as one piece.
             if fixed is None:
