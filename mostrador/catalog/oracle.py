@@ -453,4 +453,9 @@ ORACLE: dict[str, str] = {
             GROUP BY request_id""",
         _REQUEST_BOUNDS,
     ),
+    "summary_large_offset": _with(
+        """SELECT 'monto' AS "column", count(monto_aplicado) AS n, round(stddev_samp(monto_aplicado), 3) AS deviation FROM ventas
+           UNION ALL SELECT 'resto', count(*), round(stddev_samp(boleta % 7), 3) FROM ventas"""
+    ),
 }
+ORACLE["report_export"] = ORACLE["cleaning_report"]

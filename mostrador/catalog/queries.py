@@ -11,10 +11,12 @@ from mostrador import schema as S
 from mostrador.catalog import tables
 from mostrador.operators import cleaning, features, missingness, quality, quantiles, requests
 from mostrador.operators.filters import Filter, apply_filters
+from mostrador.operators.histogram import melt
 from mostrador.operators.summary import summary
 from mostrador.plans import flows
 from mostrador.session import shared_folder
 from mostrador.sources import extract, facts, json_sample
+from mostrador.sources.reports import save_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,8 +129,16 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.read_facts(spark, folder)
 
 
+def _stored_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build(folder: str) -> str:
+        facts.write_facts(facts.to_fact_columns(_aged(spark, sf_dir)), folder)
+        return folder
+
+    return facts.read_facts(spark, tables.staged_once(spark, sf_dir, "hechos", build))
+
+
 def month_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = apply_filters(_stored(spark, sf_dir), [("FECHA_DESDE", "1996-02-10"), ("FECHA_HASTA", "1996-05-20")])
+    kept = apply_filters(_stored_once(spark, sf_dir), [("FECHA_DESDE", "1996-02-10"), ("FECHA_HASTA", "1996-05-20")])
     return kept.select("fecha", *_LINE, "monto_aplicado", facts.MONTH_COLUMN)
 
 
@@ -226,6 +236,14 @@ def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.cleaning_report(rows, missingness.mcar_report(rows))
 
 
+def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning report as it is written to, and read again from, its JSON file."""
+    folder = shared_folder(spark, "reportes")
+    report = cleaning_report(spark, sf_dir)
+    save_report(report, folder, "reporte_limpieza")
+    return spark.read.schema(report.schema).json(f"{folder}/reporte_limpieza.json")
+
+
 # --- features --------------------------------------------------------------
 def unit_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lower(features.add_unit_price(tables.sales(spark, sf_dir))).select(*_LINE, "unidades", "monto_por_unidad")
@@ -296,6 +314,15 @@ def summary_processed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stats(summary(processed, [("CANAL", "web"), ("GENERO", " masculino ")]))
 
 
+def summary_large_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations of values that lie far from zero for their spread."""
+    shifted = tables.sales(spark, sf_dir).select(
+        (F.col("MONTO_APLICADO") + 1e9).alias("monto"), (F.lit(1e12) + F.col("BOLETA") % 7).alias("resto")
+    )
+    found = quantiles.group_summary(melt(shifted, ["monto", "resto"]), ["column"])
+    return _rounded(found.select("column", "n", "deviation"), 3, "deviation")
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.parse_requests(tables.requests(spark, sf_dir))
 
@@ -345,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "outlier_counts": outlier_counts,
     "clean_dataset": clean_dataset,
     "cleaning_report": cleaning_report,
+    "report_export": report_export,
     "global_cleaning_stats": global_cleaning_stats,
     "apply_cleaning": apply_cleaning,
     "unit_price": unit_price,
@@ -376,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "summary_single_row": _summarised(("ID_PERSONA", _person(20)), ("CODIGO_PRODUCTO", "28")),
     "summary_empty": _summarised(("LOCAL", "555555")),
     "summary_processed_frame": summary_processed_frame,
+    "summary_large_offset": summary_large_offset,
     "row_counts": row_counts,
     "request_parse": request_parse,
     "request_validation": request_validation,

@@ -132,7 +132,7 @@ def _write_lines(lines: DataFrame, header: str, folder: str) -> str:
 _staged: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
+def staged_once(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
     """Stage a derived input one time per session: several queries read the same extract."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _staged:
@@ -158,7 +158,7 @@ def csv_extract(spark: SparkSession, sf_dir: str) -> str:
         )
         return _write_lines(raw_text(spark, sf_dir).select(line), S.SEPARATOR.join(S.RAW_COLUMNS), folder)
 
-    return _once(spark, sf_dir, "extracto", build)
+    return staged_once(spark, sf_dir, "extracto", build)
 
 
 def csv_extract_incomplete(spark: SparkSession, sf_dir: str) -> str:
@@ -169,7 +169,7 @@ def csv_extract_incomplete(spark: SparkSession, sf_dir: str) -> str:
         whole = F.concat_ws(S.SEPARATOR, *[F.col(f"`{c}`") for c in kept])
         return _write_lines(raw_text(spark, sf_dir).select(whole), S.SEPARATOR.join(kept), folder)
 
-    return _once(spark, sf_dir, "extracto-incompleto", build)
+    return staged_once(spark, sf_dir, "extracto-incompleto", build)
 
 
 def json_extract(spark: SparkSession, sf_dir: str) -> str:
@@ -182,7 +182,7 @@ def json_extract(spark: SparkSession, sf_dir: str) -> str:
         rows.withColumn("FECHA", moment).withColumnsRenamed(raw).write.json(folder)
         return folder
 
-    return _once(spark, sf_dir, "muestra", build)
+    return staged_once(spark, sf_dir, "muestra", build)
 
 
 def _filters(*pairs: tuple[str, Column | str]) -> Column:

@@ -53,11 +53,6 @@ def coarse_bucket(value: Column) -> Column:
     return F.coalesce((F.signum(value) * steps).cast("int"), F.lit(0))
 
 
-def coarse_edge(bucket: Column) -> Column:
-    """The bound of a coarse bucket that is nearest to zero."""
-    return F.signum(bucket) * F.expm1(F.abs(bucket) / COARSE_STEPS)
-
-
 def fine_bucket(value: Column, low: Column, high: Column) -> Column:
     """Order-preserving position of ``value`` between ``low`` and ``high``."""
     share = (value - low) / (high - low)

@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mostrador.operators.histogram import coarse_bucket, coarse_edge, distinct_counts, fine_bucket, melt
+from mostrador.operators.histogram import coarse_bucket, distinct_counts, fine_bucket, melt
 
 MAX_GROUPS = 500_000
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -27,49 +27,42 @@ def _before(n: str, window) -> Column:
 
 
 def _coarse(hist: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per coarse bucket: rows, value range, sum, and two moments about the bucket's edge.
-
-    A bucket is narrow, so its moments are small numbers and squaring them loses
-    nothing that matters: the deviation is good to 12 digits as long as it is
-    above one ten-thousandth of the mean.
-    """
-    offset = F.col("value") - coarse_edge(F.col("bucket"))
+    """Per coarse bucket: rows and value range."""
     return (
         hist.withColumn("bucket", coarse_bucket(F.col("value")))
         .groupBy(*by, "bucket")
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.sum(F.col("n") * F.col("value")).alias("total"),
-            F.sum(F.col("n") * offset).alias("first"),
-            F.sum(F.col("n") * offset * offset).alias("second"),
-        )
+        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
 
 
-def _with_totals(coarse: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add the totals of the group to its buckets, so that they travel with the targets."""
-    group = Window.partitionBy(*by)
-    inner = F.col("second") - F.col("first") * F.col("first") / F.col("n")
-    between = F.col("n") * F.pow(F.col("total") / F.col("n") - F.col("mean"), F.lit(2.0))
-    return (
-        coarse.withColumn("mean", F.sum("total").over(group) / F.sum("n").over(group))
-        .withColumn("squares", inner + between)
-        .withColumn(
-            "totals",
-            F.struct(
-                F.sum("n").over(group).alias("n"),
-                F.sum("total").over(group).alias("total"),
-                F.min("low").over(group).alias("low"),
-                F.max("high").over(group).alias("high"),
-                F.sum("squares").over(group).alias("squares"),
-            ),
+def _moments(hist: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group: rows, sum, range, and the squared distances from the mean.
+
+    Distances are taken from the mean itself, and what its rounding adds is taken
+    off again, so a spread is exact however far from zero the values lie.
+    """
+    totals = hist.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("n") * F.col("value")).alias("total"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+    )
+    # One row per group, fewer than the ranks that are broadcast too.
+    means = totals.select(*by, (F.col("total") / F.col("n")).alias("mean"))
+    distance = F.col("value") - F.col("mean")
+    spread = (
+        hist.join(F.broadcast(means), by)
+        .groupBy(*by)
+        .agg(
+            F.sum(F.col("n") * distance).alias("first"),
+            F.sum(F.col("n") * distance * distance).alias("second"),
         )
     )
+    squares = F.col("second") - F.col("first") * F.col("first") / F.col("n")
+    return totals.join(spread, by).withColumn("squares", squares).drop("first", "second")
 
 
-def _locate(coarse: DataFrame, by: Sequence[str], carry: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _locate(coarse: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """The bucket, and the rank inside it, of both neighbours of every quantile position."""
     group = Window.partitionBy(*by)
     last = F.col("rows") - 1
@@ -89,7 +82,7 @@ def _locate(coarse: DataFrame, by: Sequence[str], carry: Sequence[str], probs: S
     return (
         coarse.withColumn("rows", F.sum("n").over(group))
         .withColumn("before", _before("n", group.orderBy("bucket")))
-        .select(*by, *carry, "bucket", "low", "high", F.inline(held))
+        .select(*by, "bucket", "low", "high", F.inline(held))
     )
 
 
@@ -108,9 +101,9 @@ def _pick(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return placed.where((F.col("rank") >= 0) & (F.col("rank") < F.col("n")))
 
 
-def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str], carry: Sequence[str]) -> DataFrame:
+def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
     fine = fine_bucket(F.col("value"), F.col("low"), F.col("high"))
-    kept = [*by, *carry, "target", "rank", "weight", "bucket"]
+    kept = [*by, "target", "rank", "weight", "bucket"]
     counted = (
         _inside(hist, targets, by)
         .groupBy(*kept, fine.alias("fine"))
@@ -119,11 +112,9 @@ def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str], carry: Seque
     return _pick(counted, by, "fine").select(*kept, "low", "high")
 
 
-def _resolve(
-    hist: DataFrame, targets: DataFrame, by: Sequence[str], carry: Sequence[str], named: Mapping[str, float]
-) -> DataFrame:
+def _resolve(hist: DataFrame, targets: DataFrame, by: Sequence[str], named: Mapping[str, float]) -> DataFrame:
     """One row per group and a column per quantile, from the few values of the last ranges."""
-    found = _pick(_inside(hist, _narrow(hist, targets, by, carry), by), by, "value")
+    found = _pick(_inside(hist, _narrow(hist, targets, by), by), by, "value")
     columns = []
     for i, name in enumerate(named):
         low = F.max(F.when(F.col("target") == 2 * i, F.col("value")))
@@ -132,15 +123,15 @@ def _resolve(
         # Where nothing is interpolated the value itself is the answer, infinite or not.
         exact = (weight == 0) | (low == high)
         columns.append(F.when(exact, low).otherwise(low + (high - low) * weight).alias(name))
-    return found.groupBy(*by, *carry).agg(*columns)
+    return found.groupBy(*by).agg(*columns)
 
 
 def group_quantiles(values: DataFrame, by: Sequence[str], named: Mapping[str, float]) -> DataFrame:
     """Exact quantiles of ``value`` per group: one row per group, one column per name."""
     by = list(by)
     hist = distinct_counts(values, by)
-    targets = _locate(_coarse(hist, by), by, [], list(named.values()))
-    return _resolve(hist, targets, by, [], named)
+    targets = _locate(_coarse(hist, by), by, list(named.values()))
+    return _resolve(hist, targets, by, named)
 
 
 def group_summary(values: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -150,8 +141,8 @@ def group_summary(values: DataFrame, by: Sequence[str]) -> DataFrame:
     """
     by = list(by)
     hist = distinct_counts(values, by)
-    targets = _locate(_with_totals(_coarse(hist, by), by), by, ["totals"], [0.5])
-    found = _resolve(hist, targets, by, ["totals"], {"median": 0.5}).select(*by, "median", "totals.*")
+    targets = _locate(_coarse(hist, by), by, [0.5])
+    found = _resolve(hist, targets, by, {"median": 0.5}).join(_moments(hist, by), by)
     deviation = F.when(F.col("low") == F.col("high"), F.lit(0.0)).otherwise(
         F.sqrt(F.greatest("squares", F.lit(0.0)) / (F.col("n") - 1))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mostrador import schema as S
@@ -140,10 +140,15 @@ def validate_requests(parsed: DataFrame) -> DataFrame:
     """``parsed`` with ``detail`` also set for requests whose filters are not acceptable.
 
     As with a single request, the first unacceptable filter is the one reported.
+    Requests that share an identifier cannot be answered under it and are all rejected.
     """
     messages = F.transform("filters", lambda f: _rejection(f.consulta, f.valor))
     first = F.get(F.filter(messages, lambda m: m.isNotNull()), F.lit(0))
-    return parsed.withColumn("detail", F.coalesce("detail", first))
+    checked = parsed.withColumn("detail", F.coalesce("detail", first))
+    # The count also keeps later filters on the message from being computed below it a second time.
+    copies = F.count(F.lit(1)).over(Window.partitionBy("request_id"))
+    repeated = F.when(F.col("copies") > 1, F.lit(S.MSG_REPEATED_REQUEST)).otherwise(F.col("detail"))
+    return checked.withColumn("copies", copies).withColumn("detail", repeated).drop("copies")
 
 
 def request_errors(validated: DataFrame) -> DataFrame:

@@ -152,11 +152,16 @@ def rename_standard(rows: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed(S.STANDARD_NAMES)
 
 
+def _undecodable(text: Column) -> Column:
+    return F.contains(text, F.lit("\ufffd")) | F.contains(text, F.lit("\u0000"))
+
+
 def cast_columns(rows: DataFrame) -> DataFrame:
     """Text columns to the types of the data model, plus the list of columns that did not fit.
 
     A missing value is never a misfit, except the sale time, which is required.
-    The birth date is coerced: what is no date becomes NULL.
+    The birth date is coerced: what is no date becomes NULL. Text with bytes that
+    cannot be decoded, or with NUL, is a misfit in any column and on any line.
     """
     converters = {
         S.SALE_TIME: casting.to_sale_time,
@@ -174,6 +179,8 @@ def cast_columns(rows: DataFrame) -> DataFrame:
         for c in converted
         if c != S.BIRTH_DATE
     ]
+    # Bytes that are no text arrive as the replacement character, wherever in the input they are.
+    misfits += [F.when(_undecodable(F.col(c)), F.lit(c)) for c in known if c not in converted or c == S.BIRTH_DATE]
     return values.select(
         *[F.col(f"_{c}").alias(c) if c in converted else F.col(c) for c in rows.columns],
         F.array_compact(F.array(*misfits)).alias(REJECTED),

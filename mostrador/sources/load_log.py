@@ -50,7 +50,9 @@ def reset(spark: SparkSession, root: str) -> None:
 def load_log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(_SCHEMA).parquet(_log(root))
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

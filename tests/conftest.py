@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from mostrador.session import build_session  # noqa: E402
 
-PREFIX = "550e8400-e29b-41d4-a716-"
+PREFIX = "0f1e2d3c-4b5a-4978-8695-"
 PROCESSED_SCHEMA = (
     "FECHA timestamp_ntz, CANAL string, SKU bigint, UNIDADES bigint, PORCENTAJE_DESCUENTO double, "
     "MONTO_APLICADO double, BOLETA bigint, LOCAL bigint, CODIGO_CLIENTE string, "
@@ -28,30 +28,32 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def processed(spark):
-    """Twenty enriched sales with amounts 100, 200, ... 2000."""
-    genders = [0, 0, 3, 3, *[1] * 9, *[2] * 7]
-    genders[5] = None
+def processed_rows():
+    """Twenty-eight enriched sales, no two alike; every seventh has no store, every ninth no gender."""
     rows = []
-    for i in range(20):
+    for i in range(28):
         rows.append(
             (
-                dt.datetime(2026, 1, 1) + dt.timedelta(days=i),
-                "POS" if i % 2 == 0 else "WEB",
-                1000 + i,
-                1,
-                0.1,
-                100.0 * (i + 1),
-                100000 + i,
-                None if i == 1 else (1999 if i < 10 else 2000),
+                dt.datetime(2023, 2, 20, 7, 15) + dt.timedelta(days=i, hours=5 * i % 11),
+                ("WEB", "CCT", "POS")[i % 3],
+                7000 + 3 * i,
+                1 + i % 4,
+                0.05 * (i % 5),
+                round(12.75 * (i * i % 29) + 3.5, 2),
+                880000 + i,
+                None if i % 7 == 5 else (61, 62)[i // 4 % 2],
                 f"{PREFIX}{i:012d}",
-                dt.date(1990, 1, 1) + dt.timedelta(days=365 * i),
-                genders[i],
-                20.0 + i % 5,
+                dt.date(1971, 6, 30) + dt.timedelta(days=401 * i),
+                None if i % 9 == 4 else i % 4,
+                33.0 + i % 6,
             )
         )
-    return spark.createDataFrame(rows, PROCESSED_SCHEMA).repartition(3)
+    return rows
+
+
+@pytest.fixture(scope="session")
+def processed(spark):
+    return spark.createDataFrame(processed_rows(), PROCESSED_SCHEMA).repartition(3)
 
 
 @pytest.fixture

@@ -83,7 +83,7 @@ def test_frequency_can_be_left_out(processed):
     assert "FRECUENCIA_COMPRA" not in features.engineer_features(processed, False).columns
     done = features.engineer_features(processed)
     assert {"MONTO_POR_UNIDAD", "EDAD", "FRECUENCIA_COMPRA", "MONTO_APLICADO_STD"} <= set(done.columns)
-    assert done.count() == 20
+    assert done.count() == 28
 
 
 def test_no_customer_at_all_gives_no_frequency_column(frame):

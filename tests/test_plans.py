@@ -20,26 +20,26 @@ def _plan(df, final=False):
 
 def _stored(processed, folder):
     # Three months of sales.
-    spread = processed.withColumn("FECHA", F.col("FECHA") + F.expr("make_dt_interval(SKU % 3 * 31)"))
+    spread = processed.withColumn("FECHA", F.col("FECHA") + F.expr("make_dt_interval(BOLETA % 3 * 31)"))
     path = folder("ventas")
-    assert facts.write_facts(facts.to_fact_columns(spread), path) == 20
+    assert facts.write_facts(facts.to_fact_columns(spread), path) == 28
     return facts.read_facts(processed.sparkSession, path)
 
 
 def test_date_filters_skip_months_and_reach_the_scan(processed, folder):
     stored = _stored(processed, folder)
-    kept = apply_filters(stored, [("FECHA_DESDE", "2026-02-01"), ("FECHA_HASTA", "2026-02-20"), ("CANAL", "POS")])
+    kept = apply_filters(stored, [("FECHA_DESDE", "2023-03-01"), ("FECHA_HASTA", "2023-03-20"), ("CANAL", "POS")])
     plan = _plan(kept.select("monto_aplicado"))
     partitions = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
-    assert "2026-02" in partitions
+    assert "2023-03" in partitions
     pushed = plan[plan.index("PushedFilters") :]
     assert "EqualTo(canal,POS)" in pushed and "GreaterThanOrEqual(fecha" in pushed
     assert "producto" not in pushed
-    assert all(r["fecha"] >= dt.datetime(2026, 2, 1) for r in kept.collect())
+    assert all(r["fecha"] >= dt.datetime(2023, 3, 1) for r in kept.collect())
 
 
 def test_customer_lookup_reaches_the_scan(processed, folder):
-    person = "550E8400-E29B-41D4-A716-000000000003"
+    person = "0F1E2D3C-4B5A-4978-8695-000000000011"
     kept = apply_filters(_stored(processed, folder), [("ID_PERSONA", person)])
     assert f"EqualTo(cliente_clave,{person.lower()})" in _plan(kept)
     assert kept.count() == 1

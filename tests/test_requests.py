@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from mostrador import schema as S
 from mostrador.operators import requests
 from mostrador.operators.summary import summary
 
@@ -14,30 +15,30 @@ SOUND = {
     "none": None,
     "object": "{}",
     "other": '{"otra": 1}',
-    "store": _body(("local", "1999")),
-    "pos": _body(("CANAL", "pos"), ("LOCAL", "1999")),
-    "dates": _body(("FECHA_DESDE", "2026-01-02"), ("FECHA_DESDE", "2026-01-05"), ("FECHA_HASTA", "2026-01-10")),
-    "person": _body(("ID_PERSONA", "{550E8400-E29B-41D4-A716-000000000003}")),
-    "age": _body(("EDAD", "2_1")),
+    "store": _body(("local", "61")),
+    "cct": _body(("CANAL", "cct"), ("LOCAL", "61")),
+    "dates": _body(("FECHA_DESDE", "2023-02-21"), ("FECHA_DESDE", "2023-02-25"), ("FECHA_HASTA", "2023-03-04")),
+    "person": _body(("ID_PERSONA", "{0F1E2D3C-4B5A-4978-8695-000000000011}")),
+    "age": _body(("EDAD", "3_4")),
     "gender": _body(("GENERO", "Femenino")),
-    "product": _body(("CODIGO_PRODUCTO", "1005")),
-    "nothing": _body(("LOCAL", "555555")),
-    "clash": _body(("LOCAL", "1999"), ("LOCAL", "2000")),
+    "product": _body(("CODIGO_PRODUCTO", "7015")),
+    "nothing": _body(("LOCAL", "4040")),
+    "clash": _body(("LOCAL", "61"), ("LOCAL", "62")),
     "huge": _body(("LOCAL", "9" * 30)),
 }
 DEFECTIVE = {
     "list": '{"consultas": []}',
     "null": '{"consultas": null}',
     "text": '{"consultas": "x"}',
-    "number": '{"consultas": [{"consulta": "EDAD", "valor": 31}]}',
+    "number": '{"consultas": [{"consulta": "EDAD", "valor": 34}]}',
     "half": '{"consultas": [{"consulta": "EDAD"}]}',
-    "mixed": '{"consultas": [{"consulta": "EDAD", "valor": "31"}, {"consulta": "EDAD", "valor": 31}]}',
+    "mixed": '{"consultas": [{"consulta": "EDAD", "valor": "34"}, {"consulta": "EDAD", "valor": 34}]}',
     "broken": '{"consultas": [',
     "array": "[1]",
     "name": _body(("COLOR", "x")),
-    "age": _body(("CANAL", "POS"), ("EDAD", "31.0"), ("GENERO", "x")),
-    "date": _body(("FECHA_DESDE", "05/01/2026")),
-    "uuid": _body(("ID_PERSONA", "no-es-un-uuid")),
+    "age": _body(("CANAL", "POS"), ("EDAD", "34.0"), ("GENERO", "x")),
+    "date": _body(("FECHA_DESDE", "31-12-2023")),
+    "uuid": _body(("ID_PERSONA", "1234-56")),
 }
 
 
@@ -52,7 +53,7 @@ def test_errors(spark):
     assert set(found) == set(DEFECTIVE)
     assert {r["error_code"] for r in rows} == {"VF"}
     assert found["list"] == found["null"]
-    assert found["age"] == "El valor '31.0' no es un número entero válido para la edad."
+    assert found["age"] == "El valor '34.0' no es un número entero válido para la edad."
     assert found["name"].startswith("El filtro 'COLOR' no es uno de los valores permitidos.")
     assert "JSON" in found["broken"]
     assert requests.request_errors(_validated(spark, SOUND)).isEmpty()
@@ -65,7 +66,7 @@ def test_batch_equals_one_by_one(spark, processed, monkeypatch, bound):
     got = {r["request_id"]: tuple(r)[1:] for r in requests.batch_summary(processed, _validated(spark, SOUND)).collect()}
     assert set(got) == set(SOUND)
     for name, body in SOUND.items():
-        if bound == 3 and name not in ("none", "pos", "clash"):
+        if bound == 3 and name not in ("none", "cct", "clash"):
             continue
         filters = [(f["consulta"], f["valor"]) for f in json.loads(body or "{}").get("consultas", [])]
         assert got[name] == pytest.approx(tuple(summary(processed, filters).first())), name
@@ -73,3 +74,19 @@ def test_batch_equals_one_by_one(spark, processed, monkeypatch, bound):
 
 def test_only_defective_requests_give_no_answers(spark, processed):
     assert requests.batch_summary(processed, _validated(spark, DEFECTIVE)).isEmpty()
+
+
+def test_requests_that_share_an_identifier_are_rejected(spark, processed):
+    rows = [("a", _body(("LOCAL", "61"))), ("a", _body(("LOCAL", "62"))), ("b", None), (None, "{}")]
+    table = spark.createDataFrame(rows, "request_id string, body string")
+    validated = requests.validate_requests(requests.parse_requests(table))
+    found = [(r["request_id"], r["detail"]) for r in requests.request_errors(validated).collect()]
+    assert found == [("a", S.MSG_REPEATED_REQUEST)] * 2
+    assert {r["request_id"] for r in requests.batch_summary(processed, validated).collect()} == {"b", None}
+
+
+def test_each_document_is_parsed_once(spark):
+    table = spark.createDataFrame(list(SOUND.items()), "request_id string, body string")
+    errors = requests.request_errors(requests.validate_requests(requests.parse_requests(table)))
+    plan = errors._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") <= 2
