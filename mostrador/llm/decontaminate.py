@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 SHARE = 0.08
 LEAST_CHARS = 25
 BLOCK_CHARS = 8_000_000
-_BLANKS = {c: " " for c in map(chr, range(0x3001)) if c.isspace()}
-_FOLD = str.maketrans(_BLANKS)
+_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 
 def folded(text: str) -> str:
@@ -41,7 +40,10 @@ def folded(text: str) -> str:
     low = text.lower()
     if len(low) != len(text):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    return low.translate(_FOLD)
+    for blank in _BLANKS:
+        if blank in low:
+            low = low.replace(blank, " ")
+    return low
 
 
 def myers(masks: dict[str, int], m: int, text: str, budget: int) -> tuple[int, int] | None:

@@ -37,12 +37,14 @@ BINS = 1000  # entropy in thousandths of its most
 LOW, HIGH = 120, 990  # entropies outside have no rank
 _SCALE = 1 << 16
 _CHUNK = 1 << 16  # windows looked at together
+_SLICE = 250  # documents compared at once
 
 _counts = np.arange(WINDOW + 1, dtype=np.float64)
 # c * log2(c) in fixed point, and its steps: integers, so sums do not depend on their order.
 _TERM = np.rint(_SCALE * _counts * np.log2(np.maximum(_counts, 1))).astype(np.int64)
 _STEP = np.diff(_TERM).astype(np.int32)
 _MOST = int(_TERM[WINDOW])
+_PER_BIN = BINS / _MOST
 _BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _ODD = np.cumprod(np.full(WINDOW, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
@@ -63,7 +65,7 @@ def _entropies(data: np.ndarray) -> np.ndarray:
     sums[0] = first
     np.cumsum(steps, out=sums[1:])
     sums[1:] += first
-    return ((_MOST - sums) * BINS // _MOST).astype(np.int16)
+    return ((_MOST - sums) * _PER_BIN).astype(np.int16)
 
 
 def _padded(text: bytes) -> np.ndarray:
@@ -77,11 +79,38 @@ def _window_entropies(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield at, _entropies(data[at : min(windows, at + _CHUNK) + WINDOW - 1])
 
 
+def _together(texts: list[bytes], least: int) -> Iterator[list[int]]:
+    """Places of texts of ``least`` bytes or more, in groups of about ``_CHUNK`` bytes; long ones are left out."""
+    held, size = [], 0
+    for k, text in enumerate(texts):
+        if least <= len(text) <= _CHUNK:
+            if size + len(text) > _CHUNK and held:
+                yield held
+                held, size = [], 0
+            held.append(k)
+            size += len(text) + WINDOW
+    if held:
+        yield held
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts end to end, each behind its zero bytes, and where each begins; a text has as many windows as bytes."""
+    pad = bytes(WINDOW - 1)
+    starts = np.cumsum([0, *(len(t) + WINDOW - 1 for t in texts[:-1])])
+    return np.frombuffer(b"".join([x for t in texts for x in (pad, t)]), np.uint8), starts
+
+
 def entropy_counts(texts: list[str | None]) -> np.ndarray:
     found = np.zeros(BINS + 1, np.int64)
-    for text in texts:
-        if text:
-            for _, some in _window_entropies(_padded(text.encode())):
+    raw = [(t or "").encode() for t in texts]
+    for members in _together(raw, 1):
+        data, starts = _joined([raw[k] for k in members])
+        own = _entropies(data)
+        for k, start in zip(members, starts.tolist()):
+            found += np.bincount(own[start : start + len(raw[k])], minlength=BINS + 1)
+    for text in raw:
+        if len(text) > _CHUNK:
+            for _, some in _window_entropies(_padded(text)):
                 found += np.bincount(some, minlength=BINS + 1)
     return found
 
@@ -130,6 +159,26 @@ def _selected(ranks: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks >= (LEAST_MARKS if n >= NEIGHBOURS + LEAST_MARKS else 1))
 
 
+def _features(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A hash of the window at each place."""
+    mixed = np.zeros(len(places), np.uint64)
+    for i in range(WINDOW):
+        mixed += (data[places + i].astype(np.uint64) + np.uint64(1)) * _ODD[i]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _filters(features: np.ndarray) -> bytes:
+    _, first = np.unique(features, return_index=True)
+    features = features[np.sort(first)]
+    number = np.arange(len(features)) // PER_FILTER
+    bits = np.zeros((int(number[-1]) + 1, FILTER_BYTES * 8), bool)
+    for k in range(5):
+        bits[number, ((features >> np.uint64(11 * k)) & np.uint64(2047)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).tobytes()
+
+
 def fingerprint(text: str | None, ranks: np.ndarray) -> bytes:
     """The chained filters of one whole text, end to end."""
     if not text:
@@ -141,19 +190,35 @@ def fingerprint(text: str | None, ranks: np.ndarray) -> bytes:
     places = _selected(own)
     if not len(places):
         places = np.array([len(data) - WINDOW])  # no window has a rank: the last one stands for the text
-    mixed = np.zeros(len(places), np.uint64)
-    for i in range(WINDOW):
-        mixed += (data[places + i].astype(np.uint64) + np.uint64(1)) * _ODD[i]
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(32)
-    _, first = np.unique(mixed, return_index=True)
-    features = mixed[np.sort(first)]
-    number = np.arange(len(features)) // PER_FILTER
-    bits = np.zeros((int(number[-1]) + 1, FILTER_BYTES * 8), bool)
-    for k in range(5):
-        bits[number, ((features >> np.uint64(11 * k)) & np.uint64(2047)).astype(np.int64)] = True
-    return np.packbits(bits, axis=1).tobytes()
+    return _filters(_features(data, places))
+
+
+def fingerprint_many(texts: list[str | None], ranks: np.ndarray) -> list[bytes]:
+    """``fingerprint`` of each text; texts of usual length are looked at together."""
+    raw = [(t or "").encode() for t in texts]
+    out: list[bytes | None] = [None] * len(texts)
+    shifted = (np.where(ranks > 0, ranks, BINS + 2) << 17).astype(np.int32)
+    for members in _together(raw, NEIGHBOURS + LEAST_MARKS):
+        data, starts = _joined([raw[k] for k in members])
+        least = shifted[_entropies(data)]
+        least |= np.arange(len(least), dtype=np.int32)
+        width = 1
+        while width < NEIGHBOURS:
+            step = min(width, NEIGHBOURS - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        within = np.zeros(len(least), bool)  # neighbours of one text
+        sizes = [len(raw[k]) for k in members]
+        for start, size in zip(starts.tolist(), sizes):
+            within[start : start + size - NEIGHBOURS + 1] = True
+        least = least[within & (least < (BINS + 2) << 17)]
+        places = np.flatnonzero(np.bincount(least & ((1 << 17) - 1)) >= LEAST_MARKS) if len(least) else np.zeros(0, np.int64)
+        features = _features(data, places)
+        edges = np.searchsorted(places, np.append(starts, len(data))).tolist()
+        for k, a, b in zip(members, edges, edges[1:]):
+            if a < b:
+                out[k] = _filters(features[a:b])
+    return [fingerprint(t, ranks) if x is None else x for t, x in zip(texts, out)]
 
 
 def likeness(one: bytes, other: bytes) -> float:
@@ -190,7 +255,7 @@ def fingerprints(docs: DataFrame, rarity: list[int], doc_id: str = "doc_id", tex
     @F.arrow_udf("string")
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([encoded(fingerprint(t, ranks)) for t in batch.to_pylist()], pa.string())
+            yield pa.array(list(map(encoded, fingerprint_many(batch.to_pylist(), ranks))), pa.string())
 
     return docs.select(F.col(doc_id).alias("doc_id"), made(F.col(text)).alias("fingerprint"))
 
@@ -242,35 +307,29 @@ def edited_fingerprints(docs: DataFrame, rarity: list[int]) -> DataFrame:
         .sortWithinPartitions("part", "after", F.col("doc_id").desc(), "text")
     )
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, str]]:
-        for batch in batches:
-            yield from zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))
-
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        waiting: tuple[int, str, bytes] | None = None
-        for after, doc, text in rows(batches):
-            print_ = fingerprint(text, ranks)
-            if waiting is not None:
-                held.append(_compared(*waiting, text, print_, ranks))
-                waiting = None
-                if len(held) >= 500:
-                    yield _as_batch(held)
-                    held = []
-            if after:
-                break  # what follows the range has been seen
-            waiting = (doc, text, print_)
-        for _ in batches:
-            pass  # Spark expects its input to be read
-        if held:
-            yield _as_batch(held)
+        last: tuple[int, str, bytes] | None = None  # a document whose next one has not been seen
+        ended = False
+        for batch in batches:
+            if ended:
+                continue  # Spark expects its input to be read
+            for at in range(0, batch.num_rows, _SLICE):
+                afters, ids, texts = (batch.column(i).slice(at, _SLICE).to_pylist() for i in (1, 2, 3))
+                own = next(i for i, x in enumerate(afters) if x) + 1 if any(afters) else len(afters)  # one that follows the range, at most
+                prints = fingerprint_many(texts[:own], ranks)
+                rows = ([last] if last else []) + list(zip(ids[:own], texts[:own], prints))
+                if len(rows) > 1:
+                    yield _compared(rows, ranks)
+                last, ended = rows[-1], own < len(afters) or any(afters)
+                if ended:
+                    break
 
     with_order = dealt.mapInArrow(compared, _EDITED_SQL)
     unordered = known.where(F.col("doc_id").isNull()).select("doc_id", F.length("text").cast("bigint").alias("n_chars"), "text")
 
     @F.arrow_udf("string")
     def made(texts: pa.Array) -> pa.Array:
-        return pa.array([encoded(fingerprint(t, ranks)) for t in texts.to_pylist()], pa.string())
+        return pa.array(list(map(encoded, fingerprint_many(texts.to_pylist(), ranks))), pa.string())
 
     nothing = F.lit(None)
     return with_order.unionByName(
@@ -286,16 +345,18 @@ def edited_fingerprints(docs: DataFrame, rarity: list[int]) -> DataFrame:
     )
 
 
-def _compared(doc: int, text: str, print_: bytes, following: str, next_print: bytes, ranks: np.ndarray) -> tuple:
-    half = len(text) // 2
-    edited = text[: len(text) - half] + following[:half]
-    edited_print = print_ if edited == text else fingerprint(edited, ranks)
-    digest = hashlib.sha256(edited.encode()).hexdigest()
-    near = (likeness(print_, edited_print), likeness(print_, next_print))
-    return (doc, len(text), digest, encoded(print_), encoded(edited_print), *near)
-
-
-def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+def _compared(rows: list[tuple[int, str, bytes]], ranks: np.ndarray) -> pa.RecordBatch:
+    """Each of the rows, but the last, beside the one after it."""
+    edited = []
+    for (_, text, _), (_, following, _) in zip(rows, rows[1:]):
+        half = len(text) // 2
+        edited.append(text[: len(text) - half] + following[:half])
+    prints = fingerprint_many(edited, ranks)
+    out = []
+    for (doc, text, own), (_, _, after), new, new_print in zip(rows, rows[1:], edited, prints):
+        digest = hashlib.sha256(new.encode()).hexdigest()
+        near = (likeness(own, new_print), likeness(own, after))
+        out.append((doc, len(text), digest, encoded(own), encoded(new_print), *near))
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = [x.split(" ")[0] for x in _EDITED_SQL.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
