@@ -41,7 +41,7 @@ from mostrador.session import shared_folder
 
 LENGTH = 400
 ANCHOR = 64
-LIMIT = 1_000
+LIMIT = 20_000  # about 60 MB of surroundings, their order and flags
 BLOCKS = (16, 1)  # offsets to a block for anchors beyond the limit, then for blocks beyond it
 
 _PART = 1 << 19  # strings of a document looked at together
