@@ -251,25 +251,28 @@ def _segment_rows(spark: SparkSession, folder: str, separator: str) -> DataFrame
     return read.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
 
 
-def read_arc(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all ARC files of a folder, with what WARC needs of them."""
+def read_arc(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
+    """The records of all ARC files of a folder, with what WARC needs of them; without bodies where only their digests matter."""
+    bare = {} if with_payload else {"head": None, "payload": None}
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batched(map(_as_warc, arc_records(_segments(batches))), _RECORD, "payload")
+        records = (_as_warc(r) | bare for r in arc_records(_segments(batches)))
+        yield from _batched(records, _RECORD, "payload")
 
     return _segment_rows(spark, folder, "\n").mapInArrow(parsed, _RECORD_SQL)
 
 
-def convert(records: DataFrame, least_bytes: int = 0) -> DataFrame:
+def convert(records: DataFrame, least_bytes: int = 0, digests: DataFrame | None = None) -> DataFrame:
     """Type of each record: of equal payloads of ``least_bytes`` or more, the one with the largest page id is
     the response and the others revisit it; smaller payloads are responses each.
 
     Payloads are equal when digest and length are. The winner of each digest is found by a
     combined aggregate of small rows; the join that hands it out may split a hot digest.
+    ``digests`` may give the same records without their bodies, to make that aggregate cheaper.
     """
     known = records.where(F.col("error").isNull())
     best = (
-        known.where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull())
+        (known if digests is None else digests.where(F.col("error").isNull())).where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull())
         .groupBy("payload_digest", "payload_bytes")
         .agg(F.max(F.struct("page_id", "record_id", "target_uri", "warc_date")).alias("best"))
     )

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from mostrador.llm.memo import Memo
 
 _NONE = 1 << 62
-_TOGETHER = 1_000  # texts whose unknown words are encoded at once
+_TOGETHER = 500  # texts whose unknown words are encoded at once
 _SLICE = 500  # texts handed back at once
 # The pattern of the word vocabulary's pre-tokenizer; white space is dropped.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")

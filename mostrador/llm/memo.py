@@ -26,7 +26,7 @@ class Memo:
     bounded whatever the text, and frequent words stay.
     """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], limit: int = 220_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], limit: int = 180_000) -> None:
         self._compute, self._limit = compute, limit
         self._young, self._old = _Known(), _Known()
 

@@ -29,7 +29,7 @@ from mostrador.llm.bpe import id_lists, word_encoder
 END_ID = 2
 ROWS_PER_INDEX = 1_000
 STRIPE_BYTES = 16 << 20
-_SLICE = 1_000  # documents encoded at once
+_SLICE = 500  # documents encoded at once
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> None:

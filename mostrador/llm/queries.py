@@ -60,7 +60,9 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "archives")
     arc_warc.write_arc(_table(spark, sf_dir, "pages"), f"{folder}/arc")
-    arc_warc.write_warc(arc_warc.convert(arc_warc.read_arc(spark, f"{folder}/arc")), f"{folder}/warc")
+    records = arc_warc.read_arc(spark, f"{folder}/arc")
+    digests = arc_warc.read_arc(spark, f"{folder}/arc", with_payload=False)
+    arc_warc.write_warc(arc_warc.convert(records, digests=digests), f"{folder}/warc")
     records = arc_warc.read_warc(spark, f"{folder}/warc", with_payload=False)
     return arc_warc.referred_pages(records).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
