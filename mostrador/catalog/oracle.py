@@ -77,7 +77,7 @@ texto AS (
          WHEN plant % 17 = 0 THEN 'sin fecha'
          WHEN plant % 19 = 0 THEN concat_ws('-', year(fecha_nacimiento), month(fecha_nacimiento), day(fecha_nacimiento))
          ELSE CAST(fecha_nacimiento AS VARCHAR) END AS fecha_nacimiento,
-    CASE WHEN plant % 43 <> 0 THEN CAST(genero AS VARCHAR) END AS genero,
+    CASE WHEN plant % 43 <> 0 THEN CAST(genero AS VARCHAR) END AS genero, CAST(genero AS VARCHAR) AS genero_escrito,
     plant
   FROM ventas
 ),
@@ -271,6 +271,14 @@ _MONTH = "strftime(fecha, '%Y-%m')"
 
 ORACLE: dict[str, str] = {
     "csv_scan": _with(f"SELECT {_RAW_LOWER} FROM buenas", _TEXTO),
+    "input_manifest": _with(
+        """SELECT CAST(sum(1 + added + octet_length(encode(concat_ws(';', fecha, coalesce(canal, ''), sku, '"' || producto || '"', unidades,
+             coalesce(porcentaje_descuento, ''), coalesce(monto_aplicado, ''), boleta, coalesce(local, ''),
+             coalesce(codigo_cliente, ''), coalesce(run_cliente, ''), coalesce(nombres, ''), coalesce(apellidos, ''),
+             coalesce(fecha_nacimiento, ''), CASE WHEN added > 0 OR plant % 43 <> 0 THEN coalesce(genero_escrito, '') END)))) AS BIGINT) AS data_bytes
+           FROM (SELECT *, CASE WHEN plant % 31 = 0 THEN 6 WHEN plant % 37 = 0 THEN 1 WHEN plant % 41 = 0 THEN 2 ELSE 0 END AS added FROM texto)""",
+        _TEXTO,
+    ),
     "schema_check": "SELECT missing FROM (VALUES ('GENERO'), ('LOCAL')) AS t(missing)",
     "csv_malformed_rows": _with(
         """SELECT count(*) FILTER (NOT larga) AS kept, count(*) FILTER (larga) AS skipped
