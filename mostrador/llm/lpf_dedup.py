@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.session import shared_folder
@@ -271,7 +271,9 @@ def _in_order(rows: DataFrame, length: int) -> DataFrame:
 _KIND = ["key", "around", "low", "high"]
 
 
-def _settled(spark, folder: str, rows: DataFrame, texts: DataFrame, width: int | None, length: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
+def _settled(
+    spark: SparkSession, folder: str, rows: DataFrame, texts: DataFrame, length: int, last: bool
+) -> tuple[DataFrame, DataFrame | None]:
     """``id, rid, place, from, to, later`` of the repeats among ``rows``, and the keys beyond the limit."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     here = F.struct("id", "rid", "place")
@@ -330,7 +332,7 @@ def find_repeats(docs: DataFrame, folder: str, length: int = LENGTH, anchor: int
     for level, width in enumerate(widths):
         _surroundings(candidates, width, length, whole=False).write.parquet(f"{folder}/{level}/rows")
         rows = spark.read.parquet(f"{folder}/{level}/rows")
-        spans, hot = _settled(spark, f"{folder}/{level}", rows, candidates, width, length, level == len(widths) - 1)
+        spans, hot = _settled(spark, f"{folder}/{level}", rows, candidates, length, level == len(widths) - 1)
         found = spans if found is None else found.unionByName(spans)
         if hot is None:
             break
