@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from mostrador.llm import bpe, decontaminate, lpf_dedup, near_dup, queries, zstd_quality
 from mostrador.session import shared_folder
 
+# Passages of over 50 words that stand elsewhere go, however few bytes they have; the 400 bytes of op10 are its own contract.
+PASSAGE_WORDS = 51
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -28,9 +31,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document, or place, has already; whole characters go."""
+    """Texts without the passages that an earlier document, or place, has already; whole characters go.
+
+    A passage is a run of ``PASSAGE_WORDS`` words, or of ``lpf_dedup.LENGTH`` bytes for text whose words are long.
+    """
     queries.long_rows(spark)
-    cut = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True)
+    cut = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True, words=PASSAGE_WORDS)
     text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
     cut = cut.withColumn("text", text)
     if "n_chars" in docs.columns:

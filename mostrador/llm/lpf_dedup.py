@@ -21,6 +21,12 @@ anchor by itself:
    strings have in common, and go through 3 and 4 again. With one offset to a block the
    surroundings are the string itself and the count decides. Nothing is left out.
 
+With ``words``, runs of so many words that start in two places are repeats as well, however
+few bytes they have. Each word becomes the ``WORD_BYTES`` bytes of its hash, so a run of
+``words`` words is a string of fixed length again, and the same steps find it in these codes.
+White space between the words may differ. The strings of ``LENGTH`` bytes are looked for
+beside them, for text whose words are long or not set apart.
+
 Documents are joined by id and content, so equal and missing ids do no harm.
 
 Edge cases: null and empty texts have no bytes, and texts under ``LENGTH`` bytes no
@@ -29,7 +35,8 @@ strings; they are returned as they are. A row that is there twice repeats itself
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +50,7 @@ LENGTH = 400
 ANCHOR = 64
 LIMIT = 20_000  # about 60 MB of surroundings, their order and flags
 BLOCKS = (16, 1)  # offsets to a block for anchors beyond the limit, then for blocks beyond it
+WORD_BYTES = 8  # of a word's hash
 
 _PART = 1 << 19  # strings of a document looked at together
 _TOGETHER = 3_000  # surroundings put in order at once
@@ -50,6 +58,11 @@ _PLACES = np.uint64((1 << 20) - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+_BLANKS = [c.encode() for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r\x0b\x0c"]
+
+Code = Callable[[bytes], bytes]
+
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
@@ -70,6 +83,26 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def _plain_blanks(text: bytes) -> bytes:
+    """The text with white space beyond ASCII's as blanks; each byte keeps its place."""
+    for blank in _BLANKS:
+        if blank in text:
+            text = text.replace(blank, b" " * len(blank))
+    return text
+
+
+def word_code(text: bytes) -> bytes:
+    """The hashes of the text's words, one after the other."""
+    return b"".join(map(xxhash.xxh3_64_digest, _plain_blanks(text).split()))
+
+
+def text_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Where the whole words within spans of the text's ``word_code`` stand in the text."""
+    edges = [m.span() for m in _WORD.finditer(_plain_blanks(text))]
+    places = [(-(-start // WORD_BYTES), end // WORD_BYTES) for start, end in spans]
+    return [(edges[first][0], edges[end - 1][1]) for first, end in places if first < end]
+
+
 def anchors(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Place of each anchor, and the least and greatest offset of the strings it holds."""
     data = np.frombuffer(text, np.uint8)
@@ -179,8 +212,8 @@ _ROW = pa.schema(
 )
 
 
-def _anchor_rows(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """``id, rid, place, low, high, key`` of all anchors of all documents."""
+def _anchor_rows(docs: DataFrame, length: int, anchor: int, code: Code | None) -> DataFrame:
+    """``id, rid, place, low, high, key`` of all anchors of all documents, or of their codes."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,6 +221,7 @@ def _anchor_rows(docs: DataFrame, length: int, anchor: int) -> DataFrame:
             for at in range(0, batch.num_rows, 200):
                 columns: list[list] = [[] for _ in range(6)]
                 for k, text in enumerate(batch.column(2).slice(at, 200).to_pylist(), at):
+                    text = text if code is None else code(text)
                     places, low, high = anchors(text, length, anchor)
                     digest = xxhash.xxh3_64_intdigest
                     keys = np.array([digest(text[p : p + anchor]) for p in places.tolist()], np.uint64).view(np.int64)
@@ -199,10 +233,12 @@ def _anchor_rows(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                 )
 
     schema = _ROW_SQL.removesuffix(", around binary")
-    return docs.where(F.octet_length("text") >= length).select("id", "rid", F.col("text").cast("binary")).mapInArrow(found, schema)
+    # A word in a code has a letter and a blank, or more, in the text.
+    least = length if code is None else 2 * (length // WORD_BYTES) - 1
+    return docs.where(F.octet_length("text") >= least).select("id", "rid", F.col("text").cast("binary")).mapInArrow(found, schema)
 
 
-def _surroundings(texts: DataFrame, width: int | None, length: int, whole: bool) -> DataFrame:
+def _surroundings(texts: DataFrame, width: int | None, length: int, code: Code | None, whole: bool) -> DataFrame:
     """Rows of the anchors listed beside each text: with a digest of their surroundings, or the bytes if ``whole``.
 
     With a ``width`` the anchors are split into blocks of so many offsets, with keys of their own.
@@ -212,6 +248,7 @@ def _surroundings(texts: DataFrame, width: int | None, length: int, whole: bool)
         for batch in batches:
             rows, size = [], 0
             for id_, rid, text, listed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                text = text if code is None else code(text)
                 for x in listed:
                     place, low, high, key = x["place"], x["low"], x["high"], x["key"]
                     blocks = [(None, low, high)] if width is None else blocks_of(place, low, high, width)
@@ -272,7 +309,7 @@ _KIND = ["key", "around", "low", "high"]
 
 
 def _settled(
-    spark: SparkSession, folder: str, rows: DataFrame, texts: DataFrame, length: int, last: bool
+    spark: SparkSession, folder: str, rows: DataFrame, texts: DataFrame, length: int, code: Code | None, last: bool
 ) -> tuple[DataFrame, DataFrame | None]:
     """``id, rid, place, from, to, later`` of the repeats among ``rows``, and the keys beyond the limit."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -287,7 +324,7 @@ def _settled(
     # One text of each different surroundings gives its bytes.
     wanted = kinds.join(several, "key").select("first.id", "first.rid", "first.place", "low", "high", "key", "number", "first")
     listed = wanted.groupBy("id", "rid").agg(F.collect_list(F.struct("place", "low", "high", "key")).alias("listed"))
-    bytes_ = _surroundings(texts.drop("listed").join(listed, ["id", "rid"]), None, length, whole=True)
+    bytes_ = _surroundings(texts.drop("listed").join(listed, ["id", "rid"]), None, length, code, whole=True)
     numbered = bytes_.join(wanted, ["id", "rid", "place", "low", "high", "key"])
     dealt = numbered.repartition(parts, "key").sortWithinPartitions("key", "number")
     _in_order(dealt, length).write.parquet(f"{folder}/found")
@@ -311,34 +348,54 @@ def _settled(
     return spans, hot if has_hot else None
 
 
-def find_repeats(docs: DataFrame, folder: str, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[DataFrame, DataFrame]:
+def find_repeats(
+    docs: DataFrame, folder: str, length: int = LENGTH, anchor: int = ANCHOR, words: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The documents as stored in ``folder`` (``id, rid`` and their own columns, ``candidate`` if an anchor of theirs
-    occurs elsewhere), and the repeats ``id, rid, place, from, to, later``."""
+    occurs elsewhere), and the repeats ``id, rid, start, end, coded, later``; those that are ``coded`` in the text's ``word_code``."""
     spark = docs.sparkSession
     keyed = docs.withColumns(
         {"id": F.coalesce("doc_id", F.lit(0)).cast("bigint"), "rid": F.xxhash64(F.col("doc_id").isNull(), F.col("text"))}
     )
-    _anchor_rows(keyed, length, anchor).write.parquet(f"{folder}/anchors")
-    rows = spark.read.parquet(f"{folder}/anchors")
-    often = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
-    shared = rows.join(often, "key")
-    listed = shared.groupBy("id", "rid").agg(F.collect_set(F.struct("place", "low", "high", "key")).alias("listed"))
-    joined = keyed.join(listed, ["id", "rid"], "left").withColumn("candidate", F.col("listed").isNotNull())
+    ways: dict[str, tuple[int, Code | None]] = {"listed": (length, None)}
+    if words is not None:
+        ways["listed_words"] = (words * WORD_BYTES, word_code)
+    joined = keyed
+    for way, (size, code) in ways.items():
+        _anchor_rows(keyed, size, min(anchor, size), code).write.parquet(f"{folder}/{way}/anchors")
+        rows = spark.read.parquet(f"{folder}/{way}/anchors")
+        often = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
+        shared = rows.join(often, "key")
+        listed = shared.groupBy("id", "rid").agg(F.collect_set(F.struct("place", "low", "high", "key")).alias(way))
+        joined = joined.join(listed, ["id", "rid"], "left")
+    joined = joined.withColumn("candidate", F.coalesce(*ways).isNotNull())
     joined.write.partitionBy("candidate").parquet(f"{folder}/texts")
     texts = spark.read.schema(joined.schema).parquet(f"{folder}/texts")
-    candidates = texts.where("candidate").select("id", "rid", F.coalesce("text", F.lit("")).cast("binary").alias("text"), "listed")
     found = None
     widths = (None, *BLOCKS)
-    for level, width in enumerate(widths):
-        _surroundings(candidates, width, length, whole=False).write.parquet(f"{folder}/{level}/rows")
-        rows = spark.read.parquet(f"{folder}/{level}/rows")
-        spans, hot = _settled(spark, f"{folder}/{level}", rows, candidates, length, level == len(widths) - 1)
-        found = spans if found is None else found.unionByName(spans)
-        if hot is None:
-            break
-        # What is left of each document: its anchors with too many different surroundings.
-        left = rows.join(hot, "key").groupBy("id", "rid").agg(F.collect_set(F.struct("place", "low", "high", "key")).alias("listed"))
-        candidates = candidates.drop("listed").join(left, ["id", "rid"])
+    for way, (size, code) in ways.items():
+        candidates = texts.where("candidate").where(F.col(way).isNotNull()).select(
+            "id", "rid", F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.col(way).alias("listed")
+        )
+        for level, width in enumerate(widths):
+            own = f"{folder}/{way}/{level}"
+            _surroundings(candidates, width, size, code, whole=False).write.parquet(f"{own}/rows")
+            rows = spark.read.parquet(f"{own}/rows")
+            spans, hot = _settled(spark, own, rows, candidates, size, code, level == len(widths) - 1)
+            spans = spans.select(
+                "id",
+                "rid",
+                (F.col("place") - F.col("to")).alias("start"),
+                (F.col("place") - F.col("from") + size).alias("end"),
+                F.lit(code is not None).alias("coded"),
+                "later",
+            )
+            found = spans if found is None else found.unionByName(spans)
+            if hot is None:
+                break
+            # What is left of each document: its anchors with too many different surroundings.
+            left = rows.join(hot, "key").groupBy("id", "rid").agg(F.collect_set(F.struct("place", "low", "high", "key")).alias("listed"))
+            candidates = candidates.drop("listed").join(left, ["id", "rid"])
     return texts, found
 
 
@@ -367,12 +424,18 @@ def whole_characters_of(text: bytes, spans: list[tuple[int, int]]) -> list[tuple
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, keep_first: bool = False, whole_characters: bool = False
+    docs: DataFrame,
+    length: int = LENGTH,
+    anchor: int = ANCHOR,
+    keep_first: bool = False,
+    whole_characters: bool = False,
+    words: int | None = None,
 ) -> DataFrame:
     """All columns of ``docs``, with ``kept`` (the bytes left), ``n_bytes`` and ``spans`` (start and end of what went).
 
     ``keep_first`` leaves the first copy of each string, by id and place, and removes the later
-    ones; ``whole_characters`` leaves characters whole of which only a part repeats.
+    ones; ``whole_characters`` leaves characters whole of which only a part repeats; with ``words``,
+    repeated runs of so many words go too, of whatever length in bytes.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "repeats")
@@ -380,10 +443,9 @@ def remove_repeats(
     inner = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
     # The text is kept once: beside the other columns, not within them.
     inner = inner.withColumn("row", F.col("row").dropFields("text") if len(own) > 1 else F.col("row"))
-    texts, found = find_repeats(inner, folder, length, anchor)
-    start, end = F.col("place") - F.col("to"), F.col("place") - F.col("from") + length
+    texts, found = find_repeats(inner, folder, length, anchor, words)
     chosen = found.where(F.col("later") == F.lit(keep_first))
-    spans = chosen.groupBy("id", "rid").agg(F.collect_set(F.struct(start.alias("start"), end.alias("end"))).alias("cuts"))
+    spans = chosen.groupBy("id", "rid").agg(F.collect_set(F.struct("start", "end", "coded")).alias("cuts"))
     data = F.coalesce("text", F.lit("")).cast("binary")
 
     @F.arrow_udf("struct<kept: binary, spans: array<struct<start: int, end: int>>>")
@@ -392,7 +454,10 @@ def remove_repeats(
         for texts_, cuts in batches:
             kept, gone = [], []
             for text, own_ in zip(texts_.to_pylist(), cuts.to_pylist()):
-                spans_ = merged([(c["start"], c["end"]) for c in own_ or []])
+                spans_ = merged([(c["start"], c["end"]) for c in own_ or [] if not c["coded"]])
+                runs = merged([(c["start"], c["end"]) for c in own_ or [] if c["coded"]])
+                if runs:
+                    spans_ = merged(spans_ + text_spans(text, runs))
                 if whole_characters:
                     spans_ = whole_characters_of(text, spans_)
                 edges = [0, *(x for s in spans_ for x in s), len(text)]

@@ -174,3 +174,36 @@ def test_whole_characters_stay(frame):
     for row in rows:
         bytes(row.kept).decode()
     assert hashlib.sha256(b"").digest()
+
+
+@pytest.mark.parametrize("limit", [20_000, 3])
+def test_repeated_runs_of_words_equal_brute_force(frame, monkeypatch, limit):
+    monkeypatch.setattr(lpf_dedup, "LIMIT", limit)
+    r = random.Random(11)
+    shared = [_sentence(r, n).split() for n in (9, 10, 14, 25)]
+    texts = [None, "", "a " * 40, "b\u00a0" * 25, " ".join("é" * 30 for _ in range(12))]
+    for _ in range(40):
+        parts = [_sentence(r, r.randint(1, 6)).split() for _ in range(3)]
+        words = parts[0] + r.choice(shared) + parts[1] + r.choice(shared) + parts[2]
+        texts.append("".join(w + r.choice([" ", "\n", "  ", "\u3000"]) for w in words))
+    places = {}
+    split = [list(re.finditer(r"\S+", t or "")) for t in texts]
+    for k, words in enumerate(split):
+        for p in range(len(words) - 9):
+            places.setdefault(tuple(w[0] for w in words[p : p + 10]), []).append((k, p))
+    for first in (False, True):
+        docs = frame(list(enumerate(texts)), "doc_id bigint, text string")
+        # No string of 5,000 bytes stands twice, so only words decide.
+        found = {row.doc_id: row for row in lpf_dedup.remove_repeats(docs, 5_000, 16, keep_first=first, words=10).collect()}
+        assert len(found) == len(texts)
+        for k, (text, words) in enumerate(zip(texts, split)):
+            gone, cut = [False] * len(text or ""), [False] * len(words)
+            for p in range(len(words) - 9):
+                same = places[tuple(w[0] for w in words[p : p + 10])]
+                if len(same) > 1 and (not first or same[0] != (k, p)):
+                    cut[p : p + 10] = [True] * 10
+            for p, w in enumerate(words):
+                # Blanks go between words that go.
+                a = words[p - 1].end() if p and cut[p] and cut[p - 1] else w.start()
+                gone[a : w.end()] = [cut[p]] * (w.end() - a)
+            assert bytes(found[k].kept).decode() == "".join(c for c, g in zip(text or "", gone) if not g), (first, k)

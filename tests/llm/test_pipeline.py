@@ -13,7 +13,7 @@ import compare  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
-from mostrador.llm import decontaminate  # noqa: E402
+from mostrador.llm import decontaminate, lpf_dedup  # noqa: E402
 from mostrador.llm.oracle import ORACLE  # noqa: E402
 from mostrador.llm.queries import QUERIES  # noqa: E402
 
@@ -80,3 +80,13 @@ def test_null_and_odd_rows_go_through(spark, stages):
         out = stage(spark, docs, SF_DIR)
         assert out.count() <= docs.count(), name
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0, name
+
+
+def test_a_passage_of_over_50_words_goes_however_short(spark, stages):
+    words = [f"w{k:03d}x" for k in range(400)]
+    passage = " ".join(words[:51])
+    assert len(passage) < lpf_dedup.LENGTH
+    texts = [f"{' '.join(words[100:130])} {passage} end", f"start {passage} {' '.join(words[200:230])}", " ".join(words[:50])]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], stages[0].schema)
+    found = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, SF_DIR).collect()}
+    assert found == {0: texts[0], 1: texts[1].replace(passage, ""), 2: texts[2]}
