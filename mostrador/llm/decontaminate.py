@@ -12,10 +12,15 @@ Letters are compared in lower case and all white space as blanks, character by c
 so positions are those of the text.
 
 Items are a stated query set; they go to the tasks in blocks of at most ``BLOCK_CHARS``
-characters, so what a task holds is bounded whatever the number of items.
+characters, short items counted as ``LEAST_CHARS``, so what a task holds is bounded whatever
+the number of items.
 
-Edge cases: null and empty texts hold nothing. Null items and items under ``least_chars``
-characters, which would be found everywhere, are not searched. Equal items are all reported.
+Items under ``least_chars`` characters may not differ at all, and count only where no letter
+or digit goes on at either end: "tin" is not found in "tiny". A short item that is an everyday
+word is so found in every text that has the word.
+
+Edge cases: null and empty texts hold nothing. Null items and items of white space alone are
+not searched. Equal items are all reported.
 Of overlapping places of one item in a text the first that is verified is reported. An empty
 table on either side gives no rows.
 """
@@ -123,21 +128,34 @@ def myers_anchored(masks: dict[str, int], m: int, text: str, distance: int) -> i
     return found
 
 
+def _stands_alone(text: str, start: int, end: int) -> bool:
+    """Does no word go on over either end?"""
+    before = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    after = end < len(text) and text[end].isalnum() and text[end - 1].isalnum()
+    return not before and not after
+
+
 class ItemSearch:
     """All places of a block of items in a text."""
 
     def __init__(self, items: list[tuple[int, str]], share: float = SHARE, least_chars: int = LEAST_CHARS) -> None:
         self.items: list[tuple[int, str, int]] = []
+        self._exact: set[int] = set()
         self._automaton = ahocorasick.Automaton()
         pieces: dict[str, list[tuple[int, _Node]]] = {}
         for item_id, text in items:
             pattern = folded(text)
-            if len(pattern) < least_chars:
+            short = len(pattern) < least_chars
+            if short:
+                pattern = pattern.strip()
+            if not pattern.strip():
                 continue
-            budget = int(share * len(pattern))
+            budget = 0 if short else int(share * len(pattern))
             cuts = [k * len(pattern) // (budget + 1) for k in range(budget + 2)]
             number = len(self.items)
             self.items.append((item_id, pattern, budget))
+            if short:
+                self._exact.add(number)
             for leaf in self._leaves(pattern, cuts, 0, budget + 1, None):
                 pieces.setdefault(pattern[leaf.start : leaf.end], []).append((number, leaf))
         for piece, places in pieces.items():
@@ -163,6 +181,10 @@ class ItemSearch:
             first = last + 1 - length
             for number, leaf in places:
                 spans = found.get(number)
+                if number in self._exact:  # these come in order
+                    if (spans is None or spans[-1][1] <= first) and _stands_alone(data, first, last + 1):
+                        found.setdefault(number, []).append((first, last + 1, 0))
+                    continue
                 if spans is not None and any(start <= first < end for start, end, _ in spans):
                     continue
                 shift = first - leaf.start  # where the item would begin without edits before the piece
@@ -201,11 +223,12 @@ def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[li
     """The items in blocks of at most ``block_chars`` characters, or of one item."""
     held, size = [], 0
     for row in items.select("item_id", "text").where(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
-        if held and size + len(row["text"]) > block_chars:
+        chars = max(len(row["text"]), LEAST_CHARS)
+        if held and size + chars > block_chars:
             yield held
             held, size = [], 0
         held.append((row["item_id"], row["text"]))
-        size += len(row["text"])
+        size += chars
     if held:
         yield held
 

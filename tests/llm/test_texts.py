@@ -261,3 +261,14 @@ def test_blocks_of_items_and_clean_documents(frame, monkeypatch):
     assert {row.doc_id for row in kept.collect()} == {9, 10} and kept.columns == docs.columns
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
+
+
+def test_short_items_are_found_exactly_and_at_word_boundaries(frame):
+    items = frame([(1, "What is 2+2?"), (2, "tin"), (3, " Blue\n"), (4, "  "), (5, ""), (6, None), (7, "What is 2+3?")], "item_id bigint, text string")
+    docs = frame(
+        [(1, "He asked: WHAT\nis 2+2? tiny tins, a tin-opener, tin"), (2, "martin What is 2+4? blues"), (3, "blue"), (4, "  "), (5, None)],
+        "doc_id bigint, text string",
+    )
+    found = {(r.doc_id, r.item_id, r.start, r.end, r.distance) for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {(1, 1, 10, 22, 0), (1, 2, 36, 39, 0), (1, 2, 48, 51, 0), (3, 3, 0, 4, 0)}
+    assert {r.doc_id for r in decontaminate.without_contamination(docs, items).collect()} == {2, 4, 5}
