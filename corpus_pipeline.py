@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.llm import bpe, decontaminate, lpf_dedup, near_dup, queries, zstd_quality
@@ -23,20 +23,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(zstd_quality.score(F.col("text"), model) >= queries.QUALITY_THRESHOLD)
 
 
+def told_apart(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """One row of each repeated row (same id and text), and a key that tells the rows apart and orders them by id.
+
+    Ids that are unique and not null are the key themselves. Otherwise it is made of the id, those
+    without one last, and a digest of the text.
+    """
+    unclear = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull())
+    if not unclear.limit(1).count():
+        return docs, F.col("doc_id")
+    # Flipping the sign bit puts the hexadecimal digits of ids in the order of the ids.
+    number = F.lpad(F.hex(F.col("doc_id").cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    key = F.concat(F.coalesce(number, F.lit("none")), F.lit("-"), F.coalesce(F.sha2("text", 256), F.lit("null")))
+    return docs.withColumn("row_key", key).dropDuplicates(["row_key"]).drop("row_key"), key
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the least id. Rows without an id stay."""
+    """One row of each class of near duplicates: the one with the least id. Rows without an id come after all others."""
     queries.long_rows(spark)
-    gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    rows, key = told_apart(docs)
+    keyed = rows.withColumn("row_key", key)
+    found = near_dup.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"))
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("row_key"))
+    return keyed.join(gone, "row_key", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document, or place, has already; whole characters go.
 
     A passage is a run of ``PASSAGE_WORDS`` words, or of ``lpf_dedup.LENGTH`` bytes for text whose words are long.
+    Of a row that is there several times one is left.
     """
     queries.long_rows(spark)
-    cut = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True, words=PASSAGE_WORDS)
+    rows, _ = told_apart(docs)
+    cut = lpf_dedup.remove_repeats(rows, keep_first=True, whole_characters=True, words=PASSAGE_WORDS)
     text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
     cut = cut.withColumn("text", text)
     if "n_chars" in docs.columns:

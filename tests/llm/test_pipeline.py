@@ -90,3 +90,20 @@ def test_a_passage_of_over_50_words_goes_however_short(spark, stages):
     docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], stages[0].schema)
     found = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, SF_DIR).collect()}
     assert found == {0: texts[0], 1: texts[1].replace(passage, ""), 2: texts[2]}
+
+
+def test_rows_that_share_an_id_or_have_none_are_decided_each_for_itself(spark, stages):
+    a, b, c = (" ".join(f"{x}{k * k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, c), (None, None), (-5, b), (4, None), (5, c + " more"), (5, b + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], stages[0].schema).repartition(3)
+    found = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()), key=str)
+    assert found == sorted([(1, a), (-5, b), (3, c), (None, None), (4, None)], key=str)
+    found = corpus_pipeline.repeated_passages(spark, docs.where("doc_id = 3 or doc_id is null"), SF_DIR).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in found) == [("3", ""), ("None", "None"), ("None", c)]
+
+
+def test_a_clean_row_stays_when_its_id_is_shared(spark, stages):
+    a, b = (" ".join(f"{x}{k * k}" for k in range(60)) for x in "ab")
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in [(1, a), (2, a), (2, b)]], stages[0].schema)
+    found = {(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()}
+    assert found == {(1, a), (2, b)}
