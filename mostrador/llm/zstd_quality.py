@@ -8,8 +8,8 @@ margins into calibrated scores. The length takes part in the curve, as short tex
 noisier margins, and so does the share of bytes left, as little is left of spam.
 
 The fit uses at most ``max_rows`` labelled rows of each kind, chosen by a hash of their ids:
-half of them for the dictionaries, with at most ``SAMPLE_CHARS`` characters of each, and half
-for the curve, whole. Scoring covers every byte of every text.
+half of them for the dictionaries, with at most ``sample_bytes`` bytes of each, in blocks that a
+hash chooses from all over the text, and half for the curve, whole. Scoring covers every byte of every text.
 
 Edge cases: null and empty texts have margin 0 and length 0 and get the curve's value there.
 Without labels of both kinds the score is the rate of good ones (1 if there is none).
@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 4_000
-SAMPLE_CHARS = 8_192
+SAMPLE_BYTES = 8_192
 DICTIONARY_BYTES = 64 << 10
 BLOCK = 1_024
 LEVEL = 3
@@ -52,6 +53,26 @@ def build_dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
         return b"\n".join(texts)[-size:] or b"\n"
 
 
+def sampled_blocks(data: bytes, sample_bytes: int) -> bytes:
+    """The data, or as many of its blocks as ``sample_bytes`` hold, at least one, chosen by a hash; in their order."""
+    if len(data) <= sample_bytes:
+        return data
+    blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
+    hashed = sorted(range(len(blocks)), key=lambda k: (xxhash.xxh3_64_intdigest(blocks[k], seed=k), k))
+    return b"".join(blocks[k] for k in sorted(hashed[: max(1, sample_bytes // BLOCK)]))
+
+
+def sample(text: Column, sample_bytes: int) -> Column:
+    """``sampled_blocks`` of each text."""
+
+    @F.arrow_udf("binary")
+    def taken(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([sampled_blocks(t or b"", sample_bytes) for t in batch.to_pylist()], pa.binary())
+
+    return taken(text.cast("binary"))
+
+
 class Margins:
     """Compressed-size differences under two dictionaries."""
 
@@ -96,11 +117,13 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> D
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> QualityModel:
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS, sample_bytes: int = SAMPLE_BYTES
+) -> QualityModel:
     rows = labelled(docs, labels, label, max_rows)
-    built = rows.where(F.col("half") == 0).select("y", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "doc_id").collect()
+    built = rows.where(F.col("half") == 0).select("y", sample(F.col("text"), sample_bytes).alias("text"), "doc_id").collect()
     built.sort(key=lambda r: r["doc_id"])
-    texts = {y: [r["text"].encode() for r in built if r["y"] == y and r["text"]] for y in (0, 1)}
+    texts = {y: [bytes(r["text"]) for r in built if r["y"] == y and r["text"]] for y in (0, 1)}
     shares = {r["y"]: r["n"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     total = sum(shares.values())
     rate = shares.get(1, 0) / total if total else 1.0

@@ -197,6 +197,21 @@ def test_quality_scores_are_right_and_calibrated(judged):
     assert again == model
 
 
+def test_dictionaries_are_built_from_all_over_long_texts(frame):
+    r = random.Random(12)
+    docs = [(i, _sentence(r, 2_500) + (" shiny" if i % 2 else " rotten") * 1_000 + _sentence(r, 2_500)) for i in range(40)]
+    assert all("shiny" not in t[: zstd_quality.SAMPLE_BYTES] and "rotten" not in t[: zstd_quality.SAMPLE_BYTES] for _, t in docs)
+    labels = frame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    model = zstd_quality.fit(frame(docs, "doc_id bigint, text string"), labels)
+    assert b"shiny" in model.good and b"rotten" in model.bad
+    data = docs[0][1].encode()
+    for size in (1, 3_000, 8_192, len(data)):
+        part = zstd_quality.sampled_blocks(data, size)
+        assert 0 < len(part) <= max(size, zstd_quality.BLOCK)
+        assert all(part[i : i + zstd_quality.BLOCK] in data for i in range(0, len(part), zstd_quality.BLOCK))
+    assert zstd_quality.sampled_blocks(data, len(data)) == data
+
+
 # --- decontamination ---------------------------------------------------------
 def _edit_distance_within(pattern, text):
     row = list(range(len(pattern) + 1))
