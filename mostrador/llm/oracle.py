@@ -81,8 +81,64 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
 FROM texts LEFT JOIN cut USING (doc_id)
 """
 
+
+
+def _mixing(rounds: int = 3, end: int = 1 << 60) -> str:
+    """The mix with its thresholds found by running sums over all documents in order of their places."""
+    cuts = []
+    for k in range(1, rounds + 1):
+        cuts.append(f"""
+), offered{k} AS (
+    SELECT key, place, sum(size) AS words, any_value(lft) AS lft FROM sized JOIN now{k - 1} USING (key)
+    WHERE lft > 0 AND place >= start AND size BETWEEN 1 AND lft GROUP BY key, place
+), running{k} AS (
+    SELECT *, coalesce(sum(words) OVER (PARTITION BY key ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM offered{k}
+), found{k} AS (
+    SELECT key, min(place) FILTER (before + words > lft) AS threshold, min(lft - before) FILTER (before <= lft AND before + words > lft) AS part,
+        min(before + words - lft) FILTER (before <= lft AND before + words > lft) AS over, any_value(lft) - sum(words) AS spare FROM running{k} GROUP BY key
+), now{k} AS MATERIALIZED (
+    SELECT n.key, coalesce(f.threshold, {end}) AS start, CASE WHEN f.key IS NULL THEN n.lft ELSE coalesce(f.part, f.spare) END AS lft,
+        CASE WHEN n.lft > 0 THEN n.lft ELSE -1 END AS most, coalesce(f.over, 'infinity') AS over
+    FROM now{k - 1} n LEFT JOIN found{k} f USING (key)""")
+    each = range(1, rounds + 1)
+    overs = ", ".join(f"now{k}.over" for k in each)
+    best = f"CASE WHEN least({overs}) < now{rounds}.lft THEN list_position([{overs}], least({overs})) ELSE {rounds + 1} END"
+    kept = ", ".join(f"now{k}.start AS start{k}, now{k}.most AS most{k}" for k in each)
+    admitted = " OR ".join(f"(best >= {k} AND size <= most{k} AND place < start{k} + (best = {k})::INT)" for k in each)
+    joins = " ".join(f"JOIN now{k} USING (key)" for k in each)
+    return rf"""
+WITH sized AS MATERIALIZED (
+    SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS key,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS place
+    FROM documents
+), sources AS (
+    SELECT key, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS most,
+        [3.0, 1.0, 2.0][1 + ((row_number() OVER (ORDER BY any_value(source) NULLS LAST) - 1) % 3)]::DOUBLE AS weight FROM sized GROUP BY key
+), filling AS (
+    SELECT *, row_number() OVER w AS turn, coalesce(sum(most) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS most_before,
+        coalesce(sum(weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS weight_before,
+        (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget, sum(weight) OVER () AS weights
+    FROM sources WINDOW w AS (ORDER BY most / weight, key)
+), level AS (
+    SELECT arg_min(budget - most_before, turn) AS level_left, arg_min(weights - weight_before, turn) AS level_weight
+    FROM filling WHERE (budget - most_before) * weight <= most * (weights - weight_before)
+), targets AS (
+    SELECT key, source_size, least(coalesce(level_left * weight / level_weight, 0), most::DOUBLE) AS target FROM filling, level
+), passes AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM targets
+), now0 AS MATERIALIZED (
+    SELECT key, 0::BIGINT AS start, target - passes * source_size AS lft FROM passes{"".join(cuts)}
+), plan AS (
+    SELECT doc_id, size, place, source_size, target, passes, {kept}, {best} AS best FROM sized JOIN passes USING (key) {joins}
+)
+SELECT doc_id, size, source_size, target, (size * (passes + CASE WHEN {admitted} THEN 1 ELSE 0 END))::BIGINT AS taken FROM plan
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_arc_to_warc": _PAGES,
     "op7_near_duplicates": _NEAR,
     "op10_repeated_passages": _REPEATS,
+    "op11_mixing": _mixing(),
 }

@@ -14,6 +14,7 @@ from mostrador.llm import (
     decontaminate,
     fingerprints,
     lpf_dedup,
+    mixing,
     near_dup,
     orc_tokens,
     prefix_tokens,
@@ -125,6 +126,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_fingerprints": op2_fingerprints,
@@ -136,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_token_files": op9_token_files,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_mixing": op11_mixing,
 }
