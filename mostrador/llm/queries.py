@@ -14,6 +14,7 @@ from mostrador.llm import (
     decontaminate,
     fingerprints,
     lpf_dedup,
+    merkle,
     mixing,
     near_dup,
     orc_tokens,
@@ -130,6 +131,17 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def lower_cased() -> tuple[Column, dict[str, Column]]:
+    """The tampering that op13 tries: every third document, by the checksum of its id, with A-Z in lower case."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    text = F.translate(F.col("text"), capitals, capitals.lower())
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 0, {"text": text}
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proof_digests(merkle.manifest(_table(spark, sf_dir, "documents"), tampered=lower_cased))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_fingerprints": op2_fingerprints,
@@ -142,4 +154,5 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_repeated_passages": op10_repeated_passages,
     "op11_mixing": op11_mixing,
+    "op13_merkle": op13_merkle,
 }
