@@ -20,6 +20,7 @@ from mostrador.llm import (
     orc_tokens,
     prefix_tokens,
     toxicity,
+    whitening,
     zstd_quality,
 )
 from mostrador.session import shared_folder
@@ -131,6 +132,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(whitening.quantised(_table(spark, sf_dir, "embeddings")))
+
+
 def lower_cased() -> tuple[Column, dict[str, Column]]:
     """The tampering that op13 tries: every third document, by the checksum of its id, with A-Z in lower case."""
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -154,5 +159,6 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_repeated_passages": op10_repeated_passages,
     "op11_mixing": op11_mixing,
+    "op12_whitening": op12_whitening,
     "op13_merkle": op13_merkle,
 }
