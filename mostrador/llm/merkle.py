@@ -102,13 +102,13 @@ def height(total: int) -> int:
     return levels
 
 
-def fold_block(idx: np.ndarray, digests: list[str], total: int, level: int) -> list[tuple[int, int, str]]:
+def fold_block(idx: np.ndarray, digests: list[str], total: int, level: int, levels: int = BLOCK_LEVELS) -> list[tuple[int, int, str]]:
     """``level, index, digest`` of the inner nodes above a block of all consecutive nodes of one level.
 
-    ``total`` is the number of leaves of the tree. At most ``BLOCK_LEVELS`` levels are built.
+    ``total`` is the number of leaves of the tree. At most ``levels`` levels are built.
     """
     out: list[tuple[int, int, str]] = []
-    first, top = int(idx[0]), min(height(total), level + BLOCK_LEVELS)
+    first, top = int(idx[0]), min(height(total), level + levels)
     while level < top:
         first, level = first // ARITY, level + 1
         digests = [_parent(digests[k : k + ARITY]) for k in range(0, len(digests), ARITY)]
@@ -118,15 +118,16 @@ def fold_block(idx: np.ndarray, digests: list[str], total: int, level: int) -> l
 
 def _fold(nodes: DataFrame, level: int) -> DataFrame:
     """Inner nodes above ``nodes`` (key, total, idx, digest), which are all those of a level."""
+    levels = BLOCK_LEVELS
 
     def folded(block: pa.Table) -> pa.Table:
         block = block.sort_by("idx")
-        found = fold_block(block.column("idx").to_numpy(), block.column("digest").to_pylist(), block.column("total")[0].as_py(), level)
+        found = fold_block(block.column("idx").to_numpy(), block.column("digest").to_pylist(), block.column("total")[0].as_py(), level, levels)
         n = len(found)
         columns = [[block.column("key")[0].as_py()] * n, *([list(c) for c in zip(*found)] or [[], [], []])]
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.string()))], ["key", "level", "idx", "digest"])
 
-    block = F.shiftright("idx", 3 * BLOCK_LEVELS).alias("block")
+    block = F.shiftright("idx", 3 * levels).alias("block")
     return nodes.select("key", "total", "idx", "digest", block).groupBy("key", "block").applyInArrow(folded, _NODE)
 
 

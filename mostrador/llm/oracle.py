@@ -82,6 +82,62 @@ FROM texts LEFT JOIN cut USING (doc_id)
 """
 
 
+# The checksum is taken bit by bit over the digits of the id. The trees grow level by level until one node is left;
+# a proof is the siblings of the leaf's ancestors in the tree of its language, then of that language in the upper tree.
+_MERKLE = """
+WITH RECURSIVE sums AS (
+    SELECT *, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda c, bit: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))) AS crc FROM documents
+), fields AS (
+    SELECT *, CASE WHEN doc_id IS NULL THEN 1 ELSE xor(crc, 4294967295::BIGINT) % 3 END AS third,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM sums
+), digests AS MATERIALIZED (
+    SELECT doc_id, lang, third, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(octet_length(encode(lowered)) || ':' || lowered, '-')) AS tampered
+    FROM (SELECT *, concat(coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+        coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head FROM fields)
+), leaves AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS total FROM digests
+), inner_nodes AS (
+    SELECT lang, 0 AS level, idx, total AS width, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT lang, any_value(level) + 1, idx // 8, (any_value(width) + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM inner_nodes WHERE width > 1 GROUP BY lang, idx // 8
+), nodes AS MATERIALIZED (SELECT * FROM inner_nodes
+), subroots AS MATERIALIZED (
+    SELECT lang, digest, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS idx, count(*) OVER () AS total FROM nodes WHERE width = 1
+), upper_inner AS (
+    SELECT 0 AS level, idx, total AS width, digest FROM subroots
+    UNION ALL
+    SELECT any_value(level) + 1, idx // 8, (any_value(width) + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM upper_inner WHERE width > 1 GROUP BY idx // 8
+), upper_nodes AS MATERIALIZED (SELECT * FROM upper_inner
+), steps AS MATERIALIZED (
+    SELECT a.lang, a.level, a.idx, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS before,
+        coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS after
+    FROM nodes a JOIN nodes b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.idx // 8 = b.idx // 8 AND a.width > 1 GROUP BY ALL
+), upper_steps AS MATERIALIZED (
+    SELECT a.level, a.idx, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS before,
+        coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS after
+    FROM upper_nodes a JOIN upper_nodes b ON a.level = b.level AND a.idx // 8 = b.idx // 8 AND a.width > 1 GROUP BY ALL
+), path AS (
+    SELECT l.lang, l.idx AS place, false AS upper, s.level, s.before, s.after FROM leaves l JOIN steps s
+        ON s.lang IS NOT DISTINCT FROM l.lang AND s.idx = l.idx // pow(8, s.level)::BIGINT
+    UNION ALL
+    SELECT l.lang, l.idx, true, s.level, s.before, s.after FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN upper_steps s
+        ON s.idx = r.idx // pow(8, s.level)::BIGINT
+), proofs AS (
+    SELECT lang, place, string_agg(before || after, '' ORDER BY upper, level) AS proof, list([before, after] ORDER BY upper, level) AS steps FROM path GROUP BY ALL
+), whole AS (
+    SELECT l.doc_id, l.leaf, r.digest AS subroot, (SELECT digest FROM upper_nodes WHERE width = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+        list_reduce(list_prepend([CASE WHEN third = 0 THEN tampered ELSE leaf END, ''], coalesce(steps, [])),
+            lambda own, s: [sha256(s[1] || own[1] || s[2]), ''])[1] AS folded_root
+    FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.place = l.idx
+)
+SELECT *, folded_root = root AS verified FROM whole
+"""
+
 
 def _mixing(rounds: int = 3, end: int = 1 << 60) -> str:
     """The mix with its thresholds found by running sums over all documents in order of their places."""
@@ -109,7 +165,8 @@ def _mixing(rounds: int = 3, end: int = 1 << 60) -> str:
     return rf"""
 WITH sized AS MATERIALIZED (
     SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS key,
-        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size,
         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS place
     FROM documents
 ), sources AS (
@@ -141,4 +198,5 @@ ORACLE: dict[str, str] = {
     "op7_near_duplicates": _NEAR,
     "op10_repeated_passages": _REPEATS,
     "op11_mixing": _mixing(),
+    "op13_merkle": _MERKLE,
 }

@@ -35,7 +35,7 @@ def test_query_equals_its_sql(spark, db, name):
 
 
 def test_every_operator_has_its_query():
-    assert [re.match(r"op(\d+)_", n)[1] for n in QUERIES] == [str(n) for n in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in QUERIES] == [str(n) for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
