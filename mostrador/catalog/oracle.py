@@ -461,6 +461,16 @@ ORACLE: dict[str, str] = {
             GROUP BY request_id""",
         _REQUEST_BOUNDS,
     ),
+    "batch_summary_dates": _with(
+        f"""SELECT request_id, {_STATS.format(m='monto_aplicado')}
+            FROM rangos LEFT JOIN ventas ON (desde IS NULL OR fecha >= desde) AND (hasta IS NULL OR fecha <= hasta)
+            GROUP BY request_id""",
+        """rangos AS (
+            SELECT 'd' || s_suppkey AS request_id, CASE WHEN s_suppkey % 10 <> 2 THEN inicio END AS desde,
+              CASE WHEN s_suppkey % 10 <> 1 THEN inicio + to_days(CAST(s_suppkey * 53 % 900 - 20 AS INT))
+                + CASE WHEN s_suppkey % 3 = 0 THEN INTERVAL '11:30:00' ELSE INTERVAL '0' DAY END END AS hasta
+            FROM (SELECT s_suppkey, CAST(DATE '1995-01-01' + CAST(s_suppkey * 37 % 1700 AS INT) AS TIMESTAMP) AS inicio FROM supplier))""",
+    ),
     "summary_large_offset": _with(
         """SELECT 'monto' AS "column", count(monto_aplicado) AS n, round(stddev_samp(monto_aplicado), 3) AS deviation FROM ventas
            UNION ALL SELECT 'resto', count(*), round(stddev_samp(boleta % 7), 3) FROM ventas"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mostrador import schema as S
 from mostrador.catalog import tables
-from mostrador.operators import cleaning, features, missingness, quality, quantiles, requests
+from mostrador.operators import batch, cleaning, features, missingness, quality, quantiles, requests
 from mostrador.operators.filters import Filter, apply_filters
 from mostrador.operators.histogram import melt
 from mostrador.operators.summary import summary
@@ -340,7 +340,13 @@ def request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     validated = requests.validate_requests(_parsed(spark, sf_dir))
-    return _stats(requests.batch_summary(_aged(spark, sf_dir), validated))
+    return _stats(batch.batch_summary(_aged(spark, sf_dir), validated))
+
+
+def batch_summary_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of dates per supplier, all of them over the same sales and overlapping each other."""
+    validated = requests.validate_requests(requests.parse_requests(tables.date_requests(spark, sf_dir)))
+    return _stats(batch.batch_summary(_aged(spark, sf_dir), validated))
 
 
 def _person(key: int) -> str:
@@ -412,4 +418,5 @@ QUERIES: dict[str, Query] = {
     "request_parse": request_parse,
     "request_validation": request_validation,
     "batch_summary": batch_summary,
+    "batch_summary_dates": batch_summary_dates,
 }

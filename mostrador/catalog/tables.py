@@ -236,3 +236,18 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         bad = F.when(ckey % 13 == i, kind).otherwise(bad)
     defective = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), text).alias("request_id"), bad.alias("body"))
     return sound.unionByName(defective)
+
+
+def date_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One range of dates per supplier, without other filters; some are open at one end, some empty, some end within a day."""
+    key = F.col("s_suppkey").cast("int")
+    start = F.date_add(F.lit("1995-01-01").cast("date"), key * 37 % 1700)
+    end = F.date_add(start, key * 53 % 900 - 20)
+    starts = start.cast("string")
+    ends = F.concat(end.cast("string"), F.when(key % 3 == 0, "T11:30:00").otherwise(""))
+    body = (
+        F.when(key % 10 == 1, _filters(("FECHA_DESDE", starts)))
+        .when(key % 10 == 2, _filters(("FECHA_HASTA", ends)))
+        .otherwise(_filters(("FECHA_DESDE", starts), ("FECHA_HASTA", ends)))
+    )
+    return table(spark, sf_dir, "supplier").select(F.concat(F.lit("d"), F.col("s_suppkey").cast("string")).alias("request_id"), body.alias("body"))

@@ -1,9 +1,7 @@
-"""A table of filter requests: parsed, validated and answered in one job."""
+"""A table of filter requests, parsed and validated in one job (``batch`` answers them)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,20 +9,13 @@ from mostrador import schema as S
 from mostrador.errors import FilterError
 from mostrador.functions.casting import to_sale_time
 from mostrador.functions.keys import canonical_uuid
-from mostrador.operators.quantiles import MAX_GROUPS, group_summary
-from mostrador.operators.summary import statistics
-from mostrador.session import cut_lineage
-
-# Distinct filter combinations joined by broadcast at once; more are answered
-# in several passes over the sales, each about this size.
-BROADCAST_REQUESTS = MAX_GROUPS
 
 _SPACE = " \t\n\r\x0b\x0c"
 _INTEGER = "^[+-]?[0-9]+(_[0-9]+)*$"
 _STATUS_NONE, _STATUS_FILTERS, _STATUS_ERROR = "sin_filtros", "con_filtros", "error"
 
 # Equality filters: request name -> (column of the sales, type both sides compare in).
-_EQUALITIES = {
+EQUALITIES = {
     "GENERO": ("genero", "bigint"),
     "EDAD": ("edad", "double"),
     "CANAL": ("canal", "string"),
@@ -192,11 +183,11 @@ def request_bounds(validated: DataFrame) -> DataFrame:
         )
     )
     lowest, agree = [], F.lit(True)
-    for name in _EQUALITIES:
+    for name in EQUALITIES:
         mine = F.when(F.col("name") == name, F.col("key"))
         lowest.append(F.min(mine).alias(name))
         agree = agree & F.coalesce(F.min(mine) == F.max(mine), F.lit(True))
-    unknown = F.count_if(F.col("name").isin(*_EQUALITIES) & F.col("key").isNull())
+    unknown = F.count_if(F.col("name").isin(*EQUALITIES) & F.col("key").isNull())
     # Rejected requests leave after the aggregation: a filter on the message before
     # it would make Spark validate every request a second time.
     bounds = entries.groupBy("request_id").agg(
@@ -207,80 +198,3 @@ def request_bounds(validated: DataFrame) -> DataFrame:
         (agree & (unknown == 0)).alias("possible"),
     )
     return bounds.where("detail is null").drop("detail")
-
-
-def _combinations(bounds: DataFrame) -> DataFrame:
-    """The distinct filter combinations, each with its signature (which equalities it sets)."""
-    names = list(_EQUALITIES)
-    signature = F.concat(*[F.when(F.col(n).isNotNull(), "1").otherwise("0") for n in names])
-    return bounds.withColumn("signature", signature).withColumn(
-        "key", F.concat_ws("|", *[F.col(n) for n in names])
-    )
-
-
-def _combination_id() -> Column:
-    return F.concat_ws(
-        "/",
-        "signature",
-        "key",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("desde", "hasta")],
-    )
-
-
-def _sales_keys(sales: DataFrame, signatures: list[str], measure: str) -> DataFrame:
-    """Every sale under the key of each signature in use; sales missing a key column drop out."""
-
-    def column(name: str) -> Column:
-        source, kind = _EQUALITIES[name]
-        value = F.col(source).cast(kind)
-        return (F.lower(value) if name == "ID_PERSONA" else value).cast("string")
-
-    entries = []
-    for signature in signatures:
-        used = [column(n) for n, bit in zip(_EQUALITIES, signature) if bit == "1"]
-        key = F.concat(*[x for c in used for x in (F.lit("|"), c)][1:]) if used else F.lit("")
-        entries.append(F.struct(F.lit(signature).alias("signature"), key.alias("key")))
-    kept = sales.where(F.col(measure).isNotNull() & ~F.isnan(F.col(measure).cast("double")))
-    return kept.select(
-        F.col("fecha").alias("at"), F.col(measure).cast("double").alias("value"), F.inline(F.array(*entries))
-    ).where("key is not null")
-
-
-def batch_summary(sales: DataFrame, validated: DataFrame, measure: str = S.MEASURE) -> DataFrame:
-    """(request_id, seven statistics) for every valid request, in one pass over the sales.
-
-    Requests asking for the same rows are computed once. Each sale meets the
-    requests through an equality join on the filters they set, and only the time
-    bounds are compared afterwards, so sales and requests are never all paired.
-    """
-    # Parsed and validated once; everything below reads the result.
-    combined = cut_lineage(
-        _combinations(request_bounds(validated)).withColumn("combination", _combination_id())
-    )
-    distinct = (
-        combined.where("possible").select("combination", "signature", "key", "desde", "hasta").distinct()
-    )
-    by_signature = {r["signature"]: r["count"] for r in distinct.groupBy("signature").count().collect()}
-    passes = max(1, math.ceil(sum(by_signature.values()) / BROADCAST_REQUESTS))
-    keyed = _sales_keys(sales, sorted(by_signature), measure) if by_signature else None
-    summaries = None
-    for i in range(passes if by_signature else 0):
-        part = distinct
-        if passes > 1:
-            part = distinct.where(F.pmod(F.xxhash64("combination"), F.lit(passes)) == i)
-        hits = (
-            keyed.join(F.broadcast(part), ["signature", "key"])
-            .where(F.col("desde").isNull() | (F.col("at") >= F.col("desde")))
-            .where(F.col("hasta").isNull() | (F.col("at") <= F.col("hasta")))
-            .select("combination", "value")
-        )
-        answered = group_summary(hits, ["combination"])
-        summaries = answered if summaries is None else summaries.unionByName(answered)
-    answers = combined.select("request_id", F.when(F.col("possible"), F.col("combination")).alias("combination"))
-    fields = ("n", "total", "low", "high", "median", "deviation")
-    if summaries is None:
-        empty = {f: F.lit(None).cast("bigint" if f == "n" else "double") for f in fields}
-        found = answers.withColumns(empty)
-    else:
-        found = answers.join(summaries, "combination", "left")
-    return found.select("request_id", *statistics(*[F.col(f) for f in fields]))

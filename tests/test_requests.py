@@ -3,7 +3,7 @@ import json
 import pytest
 
 from mostrador import schema as S
-from mostrador.operators import requests
+from mostrador.operators import batch, requests
 from mostrador.operators.summary import summary
 
 
@@ -59,21 +59,16 @@ def test_errors(spark):
     assert requests.request_errors(_validated(spark, SOUND)).isEmpty()
 
 
-@pytest.mark.parametrize("bound", [500_000, 3])
-def test_batch_equals_one_by_one(spark, processed, monkeypatch, bound):
-    """With a small bound the combinations are answered in several passes."""
-    monkeypatch.setattr(requests, "BROADCAST_REQUESTS", bound)
-    got = {r["request_id"]: tuple(r)[1:] for r in requests.batch_summary(processed, _validated(spark, SOUND)).collect()}
+def test_batch_equals_one_by_one(spark, processed):
+    got = {r["request_id"]: tuple(r)[1:] for r in batch.batch_summary(processed, _validated(spark, SOUND)).collect()}
     assert set(got) == set(SOUND)
     for name, body in SOUND.items():
-        if bound == 3 and name not in ("none", "cct", "clash"):
-            continue
         filters = [(f["consulta"], f["valor"]) for f in json.loads(body or "{}").get("consultas", [])]
         assert got[name] == pytest.approx(tuple(summary(processed, filters).first())), name
 
 
 def test_only_defective_requests_give_no_answers(spark, processed):
-    assert requests.batch_summary(processed, _validated(spark, DEFECTIVE)).isEmpty()
+    assert batch.batch_summary(processed, _validated(spark, DEFECTIVE)).isEmpty()
 
 
 def test_requests_that_share_an_identifier_are_rejected(spark, processed):
@@ -82,7 +77,7 @@ def test_requests_that_share_an_identifier_are_rejected(spark, processed):
     validated = requests.validate_requests(requests.parse_requests(table))
     found = [(r["request_id"], r["detail"]) for r in requests.request_errors(validated).collect()]
     assert found == [("a", S.MSG_REPEATED_REQUEST)] * 2
-    assert {r["request_id"] for r in requests.batch_summary(processed, validated).collect()} == {"b", None}
+    assert {r["request_id"] for r in batch.batch_summary(processed, validated).collect()} == {"b", None}
 
 
 def test_each_document_is_parsed_once(spark):
