@@ -345,6 +345,13 @@ ORACLE: dict[str, str] = {
         """compras AS (SELECT codigo_cliente, count(DISTINCT boleta) AS frecuencia_compra
                        FROM cargadas GROUP BY codigo_cliente)""",
     ),
+    "ingest_log": _with(
+        """SELECT (SELECT count(*) FROM cargadas) AS rows, largas AS skipped, largas AS kept_long,
+             (SELECT count(*) FROM tipadas WHERE plant % 1019 = 0) AS rejected, (SELECT count(*) FROM tipadas WHERE plant % 1019 = 0) AS kept_misfits
+           FROM (SELECT count(*) FILTER (plant % 31 = 0 OR plant % 37 = 0 OR plant % 41 = 0) AS largas FROM ventas)""",
+        _TIPADAS,
+        "cargadas AS (SELECT * FROM tipadas WHERE plant % 1019 <> 0)",
+    ),
     "null_profile": _with(
         'SELECT * FROM ('
         + _per_column(_NULLS, """SELECT '{C}' AS "column", count(*) - count({c}) AS nulls FROM ventas""")

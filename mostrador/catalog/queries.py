@@ -15,7 +15,7 @@ from mostrador.operators.histogram import melt
 from mostrador.operators.summary import summary
 from mostrador.plans import flows
 from mostrador.session import shared_folder
-from mostrador.sources import extract, facts, json_sample
+from mostrador.sources import extract, facts, json_sample, load_log
 from mostrador.sources.reports import save_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +168,16 @@ def ingest_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.published_facts(spark, root).drop(*facts.LAYOUT_COLUMNS)
 
 
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of the load: lines loaded, skipped for their length, rejected for their values; and the lines kept."""
+    root = shared_folder(spark, "carga")
+    flows.ingest(spark, tables.csv_extract(spark, sf_dir), root, strict=False)
+    left_out = flows.rejected_lines(spark, root).agg(
+        F.count("linea").alias("kept_long"), F.count_if(F.size("columnas") > 0).alias("kept_misfits")
+    )
+    return load_log.load_log(spark, root).where("completed").select("rows", "skipped", "rejected").join(left_out)
+
+
 # --- quality and cleaning --------------------------------------------------
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_profile(tables.sales(spark, sf_dir))
@@ -371,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "months_present": months_present,
     "partitioned_write": partitioned_write,
     "ingest_end_to_end": ingest_end_to_end,
+    "ingest_log": ingest_log,
     "null_profile": null_profile,
     "exact_quantiles": exact_quantiles,
     "impute_median": impute_median,

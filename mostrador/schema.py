@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 # --- Fixed values: delimited input -----------------------------------------
 SEPARATOR = ";"
 QUOTE = '"'
-SAMPLE_ROWS = 1000
 
 RAW_COLUMNS = (
     "FECHA",

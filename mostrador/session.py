@@ -43,6 +43,19 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder through the file system it is in; False if it was not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """The names of what lies directly in a folder; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute once and keep in the checkpoint folder, so a lost executor costs a re-read.
 

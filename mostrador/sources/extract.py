@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 from mostrador import schema as S
 from mostrador.errors import EmptyInputError, MissingColumnsError, UnreadableInputError
 from mostrador.functions import casting
+from mostrador.session import shared_folder
 
 _CORRUPT = "_corrupt"
 REJECTED = "_rechazo"
+TOO_LONG = "_linea_larga"
 _MARK = "\ufeff"
 
 
@@ -67,42 +69,95 @@ def _split_header(line: Column) -> Column:
     return F.split(bare, S.SEPARATOR)
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every input file, as an array of names.
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line, value): the lines of all input files that are not blank; ``line`` rises along a block."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    ).where(F.trim("value") != "")
 
-    Only the block at the start of each file takes part in the aggregation, and
-    each task keeps one line per file.
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(file, line, text, header): the first line of every input file, also as an array of names.
+
+    ``lines`` are those of ``text_lines``. Only the block at the start of each file takes part,
+    and each task keeps one line per file.
     """
-    lines = (
-        spark.read.text(path)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .withColumn("id", F.monotonically_increasing_id())
-        .where("file_block_start = 0")
-    )
-    first = lines.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "id").alias("line"))
-    return first.select("file", _split_header(F.col("line")).alias("header"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by(F.struct("line", "value"), "line").alias("first"))
+    text = F.col("first.value")
+    return first.select("file", F.col("first.line").alias("line"), text.alias("text"), _split_header(text).alias("header"))
+
+
+def missing_columns(headers: DataFrame, expected: Sequence[str] = S.RAW_COLUMNS) -> DataFrame:
+    """(file, missing): one row per required column a file lacks."""
+    wanted = F.array(*[F.lit(c) for c in expected])
+    return headers.select("file", F.explode(F.array_sort(F.array_except(wanted, "header"))).alias("missing"))
 
 
 def schema_check(spark: SparkSession, path: str, expected: Sequence[str] = S.RAW_COLUMNS) -> DataFrame:
     """(file, missing): one row per required column a file lacks; no rows means it fits."""
-    wanted = F.array(*[F.lit(c) for c in expected])
-    return file_headers(spark, path).select(
-        "file", F.explode(F.array_sort(F.array_except(wanted, "header"))).alias("missing")
-    )
+    return missing_columns(file_headers(text_lines(spark, path)), expected)
+
 
+def _undecodable_line(text: Column) -> Column:
+    return ~F.is_valid_utf8(text) | F.contains(text, F.lit("\u0000"))
 
-def check_sample(spark: SparkSession, path: str, layout: Sequence[str]) -> None:
-    """Structural check on the first rows: text in a valid encoding, and at least one data row."""
-    # Taking a fixed number of lines reads the head of the input only.
-    sample = spark.read.text(path).limit(S.SAMPLE_ROWS)
-    bad = sample.agg(F.count_if(~F.is_valid_utf8("value") | F.contains("value", F.lit("\u0000")))).first()[0]
-    if bad:
+
+def require_headers(headers: DataFrame, path: str) -> None:
+    """Every header is text, and names the required columns. Data lines are judged one by one, wherever they stand."""
+    found = headers.agg(
+        F.count_if(_undecodable_line(F.col("text"))).alias("unreadable"),
+        F.count("*").alias("files"),
+        F.first(
+            F.when(F.size(F.array_except(F.array(*[F.lit(c) for c in S.RAW_COLUMNS]), "header")) > 0, F.col("header")), ignorenulls=True
+        ).alias("lacking"),
+    ).first()
+    if found["unreadable"]:
         raise UnreadableInputError(f"'{path}' is not text in a valid encoding")
-    require_columns(layout)
-    if read_rows(spark, path, layout).where(~_too_long(layout)).isEmpty():
+    if found["lacking"] is not None:
+        require_columns(found["lacking"])
+    if not found["files"]:
         raise UnreadableInputError(f"'{path}' was parsed but has no rows")
 
 
+def staged_lines(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """All lines but headers, split into fields by the layout of their file; the input is read once, into ``folder``.
+
+    Text columns, named as in the files, are the required ones and every further one that any file has; a file
+    without it has NULLs there. ``TOO_LONG`` is the text of a line with more fields than its header, else NULL.
+    """
+    require_input(spark, path)
+    text_lines(spark, path).write.mode("errorifexists").parquet(f"{folder}/lineas")
+    lines = spark.read.parquet(f"{folder}/lineas")
+    file_headers(lines).write.mode("errorifexists").parquet(f"{folder}/encabezados")
+    headers = spark.read.parquet(f"{folder}/encabezados")
+    require_headers(headers, path)
+    # The names decide the columns of the result; their number does not grow with the data.
+    names = [r["name"] for r in headers.select(F.explode("header").alias("name")).distinct().orderBy("name").collect()]
+    names = [*S.RAW_COLUMNS, *[n for n in names if n not in S.RAW_COLUMNS and n]]
+    width = headers.agg(F.max(F.size("header"))).first()[0]
+    layout = headers.select(
+        "file",
+        F.col("line").alias("header_line"),
+        F.size("header").alias("width"),
+        F.transform(F.array(*[F.lit(n) for n in names]), lambda n: (F.array_position("header", n) - 1).cast("int")).alias("at"),
+    )
+    fields = [f"_{k}" for k in range(width)]
+    schema = ", ".join(f"{f} string" for f in [*fields, _CORRUPT])
+    options = {"sep": S.SEPARATOR, "quote": S.QUOTE, "escape": S.QUOTE, "mode": "PERMISSIVE", "columnPruning": "false", "columnNameOfCorruptRecord": _CORRUPT}
+    placed = lines.join(layout, "file").where(F.col("line") != F.col("header_line"))
+    # As a generator, so that no line is parsed once per field.
+    parsed = placed.select("width", "at", "value", F.inline(F.array(F.from_csv("value", schema, options))))
+    # Spark marks the lines that have not exactly as many fields as the widest header; only those are counted.
+    unquoted = F.regexp_replace("value", f"{S.QUOTE}[^{S.QUOTE}]*{S.QUOTE}", "")
+    number = F.when(F.col(_CORRUPT).isNull(), F.lit(width)).otherwise(F.size(F.split(unquoted, S.SEPARATOR)))
+    long = F.when(number > F.col("width"), F.col("value"))
+    listed = parsed.select("at", F.array(*fields).alias("fields"), long.alias(TOO_LONG))
+    return listed.select(*[F.get("fields", F.get("at", F.lit(k))).alias(n) for k, n in enumerate(names)], TOO_LONG)
+
+
 def _too_long(layout: Sequence[str]) -> Column:
     """More fields than the header has. Fewer are fine: the rest are NULL.
 
@@ -202,43 +257,30 @@ def require_no_rejects(typed: DataFrame) -> None:
         raise UnreadableInputError(f"values do not fit columns {sorted(first[0])}")
 
 
-def _headers_differ(spark: SparkSession, path: str) -> bool:
-    """Fields are bound by position, so files that order them otherwise must be told apart."""
-    if input_manifest(spark, path).limit(2).count() < 2:
-        return False
-    return file_headers(spark, path).select("header").distinct().limit(2).count() > 1
+def stage_extract(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """Renamed and typed rows with their misfit list and ``TOO_LONG``; files may order their columns differently.
+
+    One layout or many, one file or many, bad bytes on the first line or the last: every line is treated alike.
+    """
+    return cast_columns(rename_standard(staged_lines(spark, path, folder)))
 
 
-def typed_rows(spark: SparkSession, path: str, layout: Sequence[str] | None = None) -> DataFrame:
+def typed_rows(spark: SparkSession, path: str) -> DataFrame:
     """Checked, renamed and typed rows with their misfit list, malformed lines skipped."""
-    require_input(spark, path)
-    given = layout
-    layout = list(layout or read_layout(spark, path))
-    check_sample(spark, path, layout)
-    if given is None and _headers_differ(spark, path):
-        return read_mixed_extract(spark, path)
-    good, _ = skip_malformed(read_rows(spark, path, layout))
-    return cast_columns(rename_standard(good))
+    rows = stage_extract(spark, path, shared_folder(spark, "extracto")).where(F.col(TOO_LONG).isNull()).drop(TOO_LONG)
+    if rows.select(S.SALE_TIME).isEmpty():
+        raise UnreadableInputError(f"'{path}' was parsed but has no rows")
+    return rows
 
 
 def read_extract(spark: SparkSession, path: str) -> Extract:
-    """Open an extract whose files share one header."""
-    typed = typed_rows(spark, path)
-    _, malformed = skip_malformed(read_rows(spark, path))
+    """Open an extract: its typed rows, the misfits, and the lines that are too long."""
+    staged = stage_extract(spark, path, shared_folder(spark, "extracto"))
+    typed = staged.where(F.col(TOO_LONG).isNull()).drop(TOO_LONG)
+    malformed = staged.where(F.col(TOO_LONG).isNotNull()).select(F.col(TOO_LONG).alias("linea"))
     return Extract(accepted(typed), rejected(typed), malformed)
 
 
 def read_mixed_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Typed rows of an extract whose files may order their columns differently.
-
-    Files are grouped by header; there are as many reads as distinct headers.
-    """
-    require_input(spark, path)
-    groups = file_headers(spark, path).groupBy("header").agg(F.collect_list("file").alias("files"))
-    union = None
-    for header, files in groups.collect():
-        require_columns(header)
-        good, _ = skip_malformed(read_rows(spark, files, header))
-        typed = cast_columns(rename_standard(good).select(*S.STANDARD_COLUMNS))
-        union = typed if union is None else union.unionByName(typed)
-    return union
+    """Typed rows of an extract in the required columns only, whatever further ones its files have."""
+    return typed_rows(spark, path).select(*S.STANDARD_COLUMNS, REJECTED)

@@ -211,3 +211,87 @@ def test_other_failures_are_not_taken_for_a_first_load(spark, tmp_path):
     (tmp_path / "estado_carga" / "part-0.parquet").write_bytes(b"no parquet at all")
     with pytest.raises(Exception, match="(?i)parquet|corrupt"):
         load_log.load_state(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("strict", [True, False])
+@pytest.mark.parametrize("at", [10, 2500])
+def test_bad_bytes_mean_the_same_on_an_early_and_a_late_line(spark, tmp_path, at, strict):
+    lines = [HEADER, *[_line(i) for i in range(3000)]]
+    data = "\n".join(lines).encode().replace(b";P%d;" % at, b";a\xf1o;")
+    (tmp_path / "a.csv").write_bytes(data + b"\n")
+    root = str(tmp_path / "almacen")
+    if strict:
+        with pytest.raises(UnreadableInputError, match="PRODUCTO"):
+            flows.ingest(spark, str(tmp_path / "a.csv"), root)
+    else:
+        state = flows.ingest(spark, str(tmp_path / "a.csv"), root, strict=False)
+        assert (state.rows, state.skipped, state.rejected) == (2999, 0, 1)
+
+
+def test_a_header_that_is_no_text_is_refused_whatever_the_mode(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(HEADER.encode().replace(b"NOMBRES", b"NOMBR\xc9S") + b"\n" + _line(1).encode())
+    with pytest.raises(UnreadableInputError):
+        flows.ingest(spark, str(tmp_path / "a.csv"), str(tmp_path / "almacen"), strict=False)
+
+
+def test_layouts_of_several_files_are_told_apart_and_keep_their_further_columns(spark, write, tmp_path):
+    fields = dict(zip(S.RAW_COLUMNS, _line(7).split(";")))
+    turned = [*reversed(S.RAW_COLUMNS), "NOTA"]
+    write([";".join([*(fields[c] for c in reversed(S.RAW_COLUMNS)), "x"]), ";".join([fields[c] for c in reversed(S.RAW_COLUMNS)] + ["x", "y"])], "d/uno.csv", ";".join(turned))
+    write([_line(8), "", "   ", _line(9) + ";sobra", _line(10).rsplit(";", 2)[0], HEADER], "d/dos.csv", "\ufeff" + HEADER)
+    write([";".join([_line(11), "", "z"])], "d/tres.csv", HEADER + ";VACIA;OTRA")
+    found = extract.read_extract(spark, str(tmp_path / "d"))
+    rows = {r["BOLETA"]: r for r in found.rows.collect()}
+    assert set(rows) == {7, 8, 10, 11}
+    assert [(rows[k]["NOTA"], rows[k]["OTRA"], rows[k]["GENERO"]) for k in (7, 8, 10, 11)] == [("x", None, 1), (None, None, 1), (None, None, None), (None, "z", 1)]
+    assert found.malformed.count() == 2
+    # A second header is a line like any other: its texts are no values.
+    assert [r["FECHA_NACIMIENTO"] for r in found.rejected.collect()] == [None]
+
+
+def _rows_read(spark, since):
+    """Rows put out by scans of text since an execution, and the number of the next one."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    executions, total = store.executionsList(), 0
+    for k in range(executions.size()):
+        number = executions.apply(k).executionId()
+        if number < since:
+            continue
+        metrics, nodes = store.executionMetrics(number), store.planGraph(number).allNodes()
+        for n in range(nodes.size()):
+            node = nodes.apply(n)
+            if node.name().startswith(("Scan text", "Scan csv")):
+                for m in range(node.metrics().size()):
+                    metric = node.metrics().apply(m)
+                    if metric.name() == "number of output rows" and metrics.contains(metric.accumulatorId()):
+                        total += int(metrics.apply(metric.accumulatorId()).replace(",", ""))
+    return total, executions.apply(executions.size() - 1).executionId() + 1 if executions.size() else 0
+
+
+def test_the_text_is_read_once_also_in_several_blocks(spark, write, tmp_path, folder):
+    for name in ("a", "b"):
+        write([_line(i) for i in range(400)], f"d/{name}.csv")
+    _, since = _rows_read(spark, 0)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        assert spark.read.text(str(tmp_path / "d")).rdd.getNumPartitions() > 6
+        state = flows.ingest(spark, str(tmp_path / "d"), folder("almacen"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert state.rows == 800
+    assert _rows_read(spark, since)[0] == 802
+
+
+def test_left_out_lines_are_kept_and_unfinished_loads_go(spark, write, folder):
+    root = folder("carga")
+    with pytest.raises(UnreadableInputError):
+        flows.ingest(spark, write([_line(1), _line(2, SKU="x")], "malo.csv"), root)
+    assert len(list(Path(root, "cargas").iterdir())) == 1
+    state = flows.ingest(spark, write([_line(1), _line(2, SKU="x"), _line(3) + ";sobra"]), root, strict=False)
+    assert (state.rows, state.skipped, state.rejected) == (1, 1, 1)
+    runs = list(Path(root, "cargas").iterdir())
+    assert [str(r) for r in runs] == [state.folder.rsplit("/", 1)[0]]
+    assert sorted(p.name for p in runs[0].iterdir()) == ["rechazos", "ventas"]
+    left = {(r["linea"], tuple(r["columnas"] or ())) for r in flows.rejected_lines(spark, root).collect()}
+    assert left == {(_line(3) + ";sobra", ()), (None, ("SKU",))}
