@@ -53,15 +53,19 @@ def fences(df: DataFrame, columns: Sequence[str] = OUTLIER_COLUMNS, k: float = F
     )
 
 
-def fit_cleaning(df: DataFrame, k: float = FENCE_FACTOR) -> DataFrame:
+def count_measures(df: DataFrame) -> list[Column]:
+    """The aggregates behind the counts of a fit: rows, and nulls per column."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns]]
+
+
+def fit_cleaning(df: DataFrame, k: float = FENCE_FACTOR, counts: DataFrame | None = None) -> DataFrame:
     """One row: row count, nulls per column, medians to impute, outlier fences.
 
-    Two scans: one for the counts, one shared by all quantiles.
+    Two scans: one for the counts, one shared by all quantiles. ``counts`` is the row of ``count_measures`` where
+    another aggregate over the same data has found it already.
     """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns],
-    )
+    if counts is None:
+        counts = df.agg(*count_measures(df))
     imputed = _present(df, MEDIAN_IMPUTED)
     flagged = _present(df, OUTLIER_COLUMNS)
     if not imputed + flagged:

@@ -5,11 +5,11 @@ combines on the map side, so a value that fills a third of the table costs one
 row per task. Distinct values are then placed by two rules that depend on the
 value alone and never decrease as the value grows:
 
-* the *coarse* bucket follows the logarithm of the magnitude, so there are at
-  most about 182,000 of them whatever the data holds;
-* the *fine* bucket cuts one coarse bucket into about a million equal steps between
-  the smallest and the largest value seen in it. Beyond magnitude 1 a fine bucket
-  is narrower than one part in 100 million: money in cents has one value in it.
+* the *coarse* bucket follows the logarithm of the magnitude over its whole range, so
+  there are at most about 270,000 of them whatever the data holds, each 1.1 % wide;
+* a *fine* bucket cuts a range into about a million equal steps between the smallest
+  and the largest value seen in it. It is applied twice, to a coarse bucket and to the fine one
+  that is left: together they tell apart all but about a hundred neighbouring numbers, at any magnitude.
 
 Because the rules are deterministic, a recomputed task after an executor loss
 places every value where it was before.
@@ -22,10 +22,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COARSE_STEPS = 128
+COARSE_STEPS = 64  # to a doubling
 FINE_STEPS = 1 << 20
 _LARGEST = 1.7976931348623157e308
-_INFINITE_BUCKET = 100_000
+_SMALLEST = 5e-324
+_OFFSET = 1075 * COARSE_STEPS  # makes the buckets of the smallest numbers positive
+_INFINITE_BUCKET = 200_000
 
 
 def melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -45,8 +47,10 @@ def distinct_counts(values: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def coarse_bucket(value: Column) -> Column:
-    """Order-preserving bucket by magnitude: at most 0.8 % wide beyond 1, at most 1/128 wide below."""
-    steps = F.floor(F.log1p(F.least(F.abs(value), F.lit(_LARGEST))) * COARSE_STEPS)
+    """Order-preserving bucket by magnitude, zero in the middle."""
+    # Clamped before the logarithm: infinities get a bucket of their own, and zero is not looked at.
+    size = F.least(F.greatest(F.abs(value), F.lit(_SMALLEST)), F.lit(_LARGEST))
+    steps = F.floor(F.log2(size) * COARSE_STEPS) + _OFFSET
     steps = F.when(F.abs(value) > _LARGEST, F.lit(_INFINITE_BUCKET)).otherwise(steps)
     # Declared non-null, so joining on it adds no filter below the histogram and
     # every branch of a plan can reuse the one shuffle that built it.

@@ -27,7 +27,7 @@ def _before(n: str, window) -> F.Column:
 def _with_smaller_counts(hist: DataFrame) -> DataFrame:
     """Add ``smaller``: how many rows have a value below this distinct value."""
     placed = hist.withColumn("bucket", coarse_bucket(F.col("value")))
-    # At most about 182,000 coarse buckets exist, so ordering them in one place
+    # At most about 270,000 coarse buckets exist, so ordering them in one place
     # and broadcasting the result has a fixed cost.
     coarse = placed.groupBy("bucket").agg(
         F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
@@ -37,12 +37,21 @@ def _with_smaller_counts(hist: DataFrame) -> DataFrame:
     placed = placed.join(F.broadcast(coarse), "bucket").withColumn(
         "fine", fine_bucket(F.col("value"), F.col("low"), F.col("high"))
     )
-    fine = placed.groupBy("bucket", "fine").agg(F.sum("n").alias("n"))
+    fine = placed.groupBy("bucket", "fine").agg(
+        F.sum("n").alias("n"), F.min("value").alias("fine_low"), F.max("value").alias("fine_high")
+    )
     inside = Window.partitionBy("bucket").orderBy("fine")
-    fine = fine.select("bucket", "fine", _before("n", inside).alias("below_fine"))
-    last = Window.partitionBy("bucket", "fine").orderBy("value")
-    return placed.join(fine, ["bucket", "fine"]).withColumn(
-        "smaller", F.col("below_bucket") + F.col("below_fine") + _before("n", last)
+    fine = fine.select("bucket", "fine", "fine_low", "fine_high", _before("n", inside).alias("below_fine"))
+    # Once more inside the fine bucket, so that a dense cluster of values is not ranked by one task either.
+    placed = placed.join(fine, ["bucket", "fine"]).withColumn(
+        "finest", fine_bucket(F.col("value"), F.col("fine_low"), F.col("fine_high"))
+    )
+    finest = placed.groupBy("bucket", "fine", "finest").agg(F.sum("n").alias("n"))
+    within = Window.partitionBy("bucket", "fine").orderBy("finest")
+    finest = finest.select("bucket", "fine", "finest", _before("n", within).alias("below_finest"))
+    last = Window.partitionBy("bucket", "fine", "finest").orderBy("value")
+    return placed.join(finest, ["bucket", "fine", "finest"]).withColumn(
+        "smaller", F.col("below_bucket") + F.col("below_fine") + F.col("below_finest") + _before("n", last)
     )
 
 

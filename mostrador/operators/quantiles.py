@@ -1,12 +1,12 @@
 """Exact quantiles with linear interpolation, for any number of groups in one job.
 
 No value list is ever held by one task. The wanted ranks are located in the
-coarse buckets, then in the fine ones inside them, and only the distinct values
-of one fine bucket per rank are put in order. See ``histogram`` for the buckets.
+coarse buckets, then in the fine ones inside them, once more in the fine ones inside
+those, and only the few distinct values that are left per rank are put in order. See ``histogram``.
 
-Located ranks are broadcast to the histogram, two rows per group and quantile.
-Callers therefore bound the number of groups (``MAX_GROUPS``): it is a list of
-columns, or a counted share of a larger set.
+Located ranks are joined to the histogram, two rows per group and quantile. Where the
+groups are a list of columns they are broadcast; any other number of groups is left to
+Spark, which broadcasts within its own size limit and shuffles beyond it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from mostrador.operators.histogram import coarse_bucket, distinct_counts, fine_bucket, melt
 
-MAX_GROUPS = 500_000
+FINE_LEVELS = 2
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -35,7 +35,11 @@ def _coarse(hist: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _moments(hist: DataFrame, by: Sequence[str]) -> DataFrame:
+def _small(df: DataFrame, few_groups: bool) -> DataFrame:
+    return F.broadcast(df) if few_groups else df
+
+
+def _moments(hist: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
     """Per group: rows, sum, range, and the squared distances from the mean.
 
     Distances are taken from the mean itself, and what its rounding adds is taken
@@ -47,11 +51,10 @@ def _moments(hist: DataFrame, by: Sequence[str]) -> DataFrame:
         F.min("value").alias("low"),
         F.max("value").alias("high"),
     )
-    # One row per group, fewer than the ranks that are broadcast too.
     means = totals.select(*by, (F.col("total") / F.col("n")).alias("mean"))
     distance = F.col("value") - F.col("mean")
     spread = (
-        hist.join(F.broadcast(means), by)
+        hist.join(_small(means, few_groups), by)
         .groupBy(*by)
         .agg(
             F.sum(F.col("n") * distance).alias("first"),
@@ -86,12 +89,10 @@ def _locate(coarse: DataFrame, by: Sequence[str], probs: Sequence[float]) -> Dat
     )
 
 
-def _inside(hist: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+def _inside(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
     """Distinct values that lie in the range a target is still confined to."""
     placed = hist.withColumn("bucket", coarse_bucket(F.col("value")))
-    return placed.join(F.broadcast(targets), [*by, "bucket"]).where(
-        F.col("value").between(F.col("low"), F.col("high"))
-    )
+    return placed.join(_small(targets, few_groups), [*by, "bucket"]).where(F.col("value").between(F.col("low"), F.col("high")))
 
 
 def _pick(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
@@ -101,20 +102,23 @@ def _pick(rows: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return placed.where((F.col("rank") >= 0) & (F.col("rank") < F.col("n")))
 
 
-def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
+    """Confine every target to one fine bucket of its range."""
     fine = fine_bucket(F.col("value"), F.col("low"), F.col("high"))
     kept = [*by, "target", "rank", "weight", "bucket"]
     counted = (
-        _inside(hist, targets, by)
+        _inside(hist, targets, by, few_groups)
         .groupBy(*kept, fine.alias("fine"))
         .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
     return _pick(counted, by, "fine").select(*kept, "low", "high")
 
 
-def _resolve(hist: DataFrame, targets: DataFrame, by: Sequence[str], named: Mapping[str, float]) -> DataFrame:
+def _resolve(hist: DataFrame, targets: DataFrame, by: Sequence[str], named: Mapping[str, float], few_groups: bool) -> DataFrame:
     """One row per group and a column per quantile, from the few values of the last ranges."""
-    found = _pick(_inside(hist, _narrow(hist, targets, by), by), by, "value")
+    for _ in range(FINE_LEVELS):
+        targets = _narrow(hist, targets, by, few_groups)
+    found = _pick(_inside(hist, targets, by, few_groups), by, "value")
     columns = []
     for i, name in enumerate(named):
         low = F.max(F.when(F.col("target") == 2 * i, F.col("value")))
@@ -126,23 +130,26 @@ def _resolve(hist: DataFrame, targets: DataFrame, by: Sequence[str], named: Mapp
     return found.groupBy(*by).agg(*columns)
 
 
-def group_quantiles(values: DataFrame, by: Sequence[str], named: Mapping[str, float]) -> DataFrame:
-    """Exact quantiles of ``value`` per group: one row per group, one column per name."""
+def group_quantiles(values: DataFrame, by: Sequence[str], named: Mapping[str, float], few_groups: bool = False) -> DataFrame:
+    """Exact quantiles of ``value`` per group: one row per group, one column per name.
+
+    ``few_groups`` says that the number of groups is bounded, such as that of a list of columns.
+    """
     by = list(by)
     hist = distinct_counts(values, by)
     targets = _locate(_coarse(hist, by), by, list(named.values()))
-    return _resolve(hist, targets, by, named)
+    return _resolve(hist, targets, by, named, few_groups)
 
 
-def group_summary(values: DataFrame, by: Sequence[str]) -> DataFrame:
+def group_summary(values: DataFrame, by: Sequence[str], few_groups: bool = False) -> DataFrame:
     """Rows, sum, range, exact median and sample deviation of ``value`` per group.
 
-    The source is read once: every statistic comes from the one histogram.
+    ``few_groups`` as in ``group_quantiles``. The source is read once: every statistic comes from the one histogram.
     """
     by = list(by)
     hist = distinct_counts(values, by)
     targets = _locate(_coarse(hist, by), by, [0.5])
-    found = _resolve(hist, targets, by, {"median": 0.5}).join(_moments(hist, by), by)
+    found = _resolve(hist, targets, by, {"median": 0.5}, few_groups).join(_moments(hist, by, few_groups), by)
     deviation = F.when(F.col("low") == F.col("high"), F.lit(0.0)).otherwise(
         F.sqrt(F.greatest("squares", F.lit(0.0)) / (F.col("n") - 1))
     )
@@ -151,4 +158,4 @@ def group_summary(values: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], named: Mapping[str, float]) -> DataFrame:
     """Exact quantiles of several columns: one row per column that has a value."""
-    return group_quantiles(melt(df, columns), ["column"], named)
+    return group_quantiles(melt(df, columns), ["column"], named, few_groups=True)

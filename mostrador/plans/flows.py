@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.errors import UnreadableInputError
-from mostrador.operators.cleaning import apply_cleaning, clean, cleaning_report, fit_cleaning, settle
+from mostrador.operators.cleaning import apply_cleaning, clean, cleaning_report, count_measures, fit_cleaning, settle
 from mostrador.operators.features import (
     apply_features,
     engineer_features,
     fit_features,
+    scale_measures,
+    scales_of,
     scaling_parameters,
 )
 from mostrador.operators.missingness import mcar_report
@@ -66,10 +68,14 @@ def _keep_rejects(spark: SparkSession, folder: str, target: str) -> None:
 def two_pass(sales: DataFrame, with_frequency: bool = True) -> DataFrame:
     """Fit everything on the given data, then apply it: the production flow.
 
-    Scales are fitted on the data as it came, before imputation.
+    Scales are fitted on the data as it came, before imputation. The data is read four times at most: by one
+    aggregate for all counts, means and deviations, one histogram for all quantiles, one frequency table, and to apply.
     """
-    features = fit_features(sales, with_frequency)
-    return apply_features(apply_cleaning(sales, settle(fit_cleaning(sales))), features)
+    totals = settle(sales.agg(*count_measures(sales), *scale_measures(sales)))
+    counts = totals.select(*[c for c in totals.columns if c == "rows" or c.startswith("nulls_")])
+    cleaning = settle(fit_cleaning(sales, counts=counts))
+    features = fit_features(sales, with_frequency, scales_of(totals.first()))
+    return apply_features(apply_cleaning(sales, cleaning), features)
 
 
 def one_pass(sales: DataFrame, with_frequency: bool = True) -> DataFrame:

@@ -61,3 +61,21 @@ def test_distinct_receipts_are_reduced_before_and_spread_over_both_keys(processe
     plan = _plan(purchase_frequency(add_age(processed)))
     assert "hashpartitioning(CODIGO_CLIENTE" in plan
     assert any("CODIGO_CLIENTE" in line and "BOLETA" in line for line in plan.splitlines() if "hashpartitioning" in line)
+
+
+def test_the_two_pass_flow_reads_its_input_four_times_at_most(spark, processed, folder):
+    processed.write.parquet(folder("entrada"))
+    sales = spark.read.parquet(folder("entrada"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    since = store.executionsList().size() and store.executionsList().apply(store.executionsList().size() - 1).executionId() + 1
+    assert len(two_pass(sales).collect()) == 28
+    executions, read = store.executionsList(), 0
+    for k in range(executions.size()):
+        number = executions.apply(k).executionId()
+        metrics, nodes = store.executionMetrics(number), store.planGraph(number).allNodes()
+        for node in (nodes.apply(n) for n in range(nodes.size())) if number >= since else ():
+            if node.name().startswith("Scan parquet") and "entrada" in node.desc():
+                rows = [node.metrics().apply(m) for m in range(node.metrics().size())]
+                ids = [m.accumulatorId() for m in rows if m.name() == "number of output rows"]
+                read += sum(int(metrics.apply(i)) for i in ids if metrics.contains(i))
+    assert 28 <= read <= 4 * 28
