@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mostrador.operators.quantiles import column_quantiles
 from mostrador.schema import (
@@ -58,18 +59,40 @@ def count_measures(df: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns]]
 
 
-def fit_cleaning(df: DataFrame, k: float = FENCE_FACTOR, counts: DataFrame | None = None) -> DataFrame:
+def fit_cleaning(df: DataFrame, k: float = FENCE_FACTOR) -> DataFrame:
     """One row: row count, nulls per column, medians to impute, outlier fences.
 
-    Two scans: one for the counts, one shared by all quantiles. ``counts`` is the row of ``count_measures`` where
-    another aggregate over the same data has found it already.
+    Two scans: one for the counts, one shared by all quantiles.
     """
-    if counts is None:
-        counts = df.agg(*count_measures(df))
+    counts = df.agg(*count_measures(df))
+    bounds = _bounds(df, k)
+    if bounds is None:
+        return counts
+    return counts.withColumn("q", single_row(bounds)).select(*counts.columns, "q.*")
+
+
+def settled_fit(df: DataFrame, k: float = FENCE_FACTOR) -> DataFrame:
+    """``fit_cleaning``, run once: its row as data of its own, so that later steps do not fit again."""
+    counts = settle(df.agg(*count_measures(df)))
+    bounds = settled_bounds(df, k)
+    if bounds is None:
+        return counts
+    schema = T.StructType([*counts.schema.fields, *bounds.schema.fields])
+    return df.sparkSession.createDataFrame([(*counts.first(), *bounds.first())], schema)
+
+
+def settled_bounds(df: DataFrame, k: float = FENCE_FACTOR) -> DataFrame | None:
+    """What ``apply_cleaning`` needs of a fit, run once: medians and fences, no counts. None where nothing is fitted."""
+    bounds = _bounds(df, k)
+    return None if bounds is None else settle(bounds)
+
+
+def _bounds(df: DataFrame, k: float) -> DataFrame | None:
+    """One row: the medians to impute and the outlier fences of the columns that are there."""
     imputed = _present(df, MEDIAN_IMPUTED)
     flagged = _present(df, OUTLIER_COLUMNS)
     if not imputed + flagged:
-        return counts
+        return None
     table = column_quantiles(df, imputed + flagged, _QUARTILES)
 
     def of(column: str, value: Column) -> Column:
@@ -80,7 +103,7 @@ def fit_cleaning(df: DataFrame, k: float = FENCE_FACTOR, counts: DataFrame | Non
     for c in flagged:
         bounds.append(of(c, F.col("q1") - k * spread).alias(f"low_{c}"))
         bounds.append(of(c, F.col("q3") + k * spread).alias(f"high_{c}"))
-    return counts.withColumn("q", single_row(table.agg(*bounds))).select(*counts.columns, "q.*")
+    return table.agg(*bounds)
 
 
 def outside(value: Column, low: Column, high: Column) -> Column:
@@ -159,7 +182,7 @@ def outlier_counts(marked: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame) -> DataFrame:
     """Impute and mark in one step: the fences and the median come from ``df`` itself."""
-    return apply_cleaning(df, settle(fit_cleaning(df)))
+    return apply_cleaning(df, settled_fit(df))
 
 
 def cleaning_report(df: DataFrame, mcar: DataFrame | None = None) -> DataFrame:
@@ -167,7 +190,7 @@ def cleaning_report(df: DataFrame, mcar: DataFrame | None = None) -> DataFrame:
 
     ``mcar`` is the (column, p_value) result of ``missingness.mcar_report``.
     """
-    params = settle(fit_cleaning(df))
+    params = settled_fit(df)
     entries = []
 
     def entry(metric: str, column: str | None, value: Column) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mostrador.functions import derive
@@ -111,21 +111,15 @@ def add_frequency(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     return lookup_by_key(df, table, CUSTOMER, FREQUENCY, "lines")
 
 
-def scale_measures(df: DataFrame, columns: Sequence[str] = SCALED_COLUMNS) -> list[Column]:
-    """The aggregates behind the scales: mean and sample deviation of every present column."""
-    present = [c for c in columns if c in df.columns]
-    return [
-        *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in present],
-        *[F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in present],
-    ]
-
-
 def scaling_parameters(df: DataFrame, columns: Sequence[str] = SCALED_COLUMNS) -> DataFrame:
     """(column, mean, sd) in one pass; absent columns are skipped."""
     present = [c for c in columns if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], "column string, mean double, sd double")
-    totals = df.agg(*scale_measures(df, present))
+    totals = df.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in present],
+        *[F.stddev_samp(F.col(c).cast("double")).alias(f"sd_{c}") for c in present],
+    )
     rows = F.array(
         *[
             F.struct(
@@ -159,20 +153,18 @@ def standardize(df: DataFrame, columns: Sequence[str] = SCALED_COLUMNS) -> tuple
     return apply_scales(df, scales), scales
 
 
-def scales_of(totals: Row, columns: Sequence[str] = SCALED_COLUMNS) -> dict[str, Scale]:
-    """The scales from a row of ``scale_measures``."""
-    fields = totals.asDict()
-    return {c: Scale(fields[f"mean_{c}"], fields[f"sd_{c}"]) for c in columns if f"mean_{c}" in fields}
+def fit_frequency(df: DataFrame) -> DataFrame | None:
+    """The frequency table, which stays distributed; None without its columns, or where no line has a customer."""
+    if not {CUSTOMER, RECEIPT} <= set(df.columns):
+        return None
+    table = frequency_table(df)
+    return None if table.isEmpty() else table
 
 
-def fit_features(df: DataFrame, with_frequency: bool = True, scales: dict[str, Scale] | None = None) -> FeatureParams:
-    """Scales, unless they are known already, and, if wanted, the frequency table. The table stays distributed."""
-    table = None
-    if with_frequency and {CUSTOMER, RECEIPT} <= set(df.columns):
-        table = frequency_table(df)
-        if table.isEmpty():
-            table = None
-    return FeatureParams(fit_scales(df) if scales is None else scales, table)
+def fit_features(df: DataFrame, with_frequency: bool = True) -> FeatureParams:
+    """Scales and, if wanted, the frequency table."""
+    table = fit_frequency(df) if with_frequency else None
+    return FeatureParams(fit_scales(df), table)
 
 
 def apply_features(df: DataFrame, params: FeatureParams) -> DataFrame:

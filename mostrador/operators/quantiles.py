@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from mostrador.operators.histogram import coarse_bucket, distinct_counts, fine_bucket, melt
 
-FINE_LEVELS = 2
+# Values put in order by one task without narrowing them down again.
+FEW_VALUES = 1_024
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -109,16 +110,25 @@ def _narrow(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups:
     counted = (
         _inside(hist, targets, by, few_groups)
         .groupBy(*kept, fine.alias("fine"))
-        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("distinct"))
     )
-    return _pick(counted, by, "fine").select(*kept, "low", "high")
+    return _pick(counted, by, "fine").select(*kept, "low", "high", "distinct")
+
+
+def _confine(hist: DataFrame, targets: DataFrame, by: Sequence[str], few_groups: bool) -> DataFrame:
+    """Targets confined to few distinct values each.
+
+    One narrowing does it unless values are packed very densely; the second one is for those, and where there are
+    none Spark finds its input empty and leaves it out.
+    """
+    once = _narrow(hist, targets, by, few_groups)
+    twice = _narrow(hist, once.where(F.col("distinct") > FEW_VALUES).drop("distinct"), by, few_groups)
+    return once.where(F.col("distinct") <= FEW_VALUES).unionByName(twice).drop("distinct")
 
 
 def _resolve(hist: DataFrame, targets: DataFrame, by: Sequence[str], named: Mapping[str, float], few_groups: bool) -> DataFrame:
     """One row per group and a column per quantile, from the few values of the last ranges."""
-    for _ in range(FINE_LEVELS):
-        targets = _narrow(hist, targets, by, few_groups)
-    found = _pick(_inside(hist, targets, by, few_groups), by, "value")
+    found = _pick(_inside(hist, _confine(hist, targets, by, few_groups), by, few_groups), by, "value")
     columns = []
     for i, name in enumerate(named):
         low = F.max(F.when(F.col("target") == 2 * i, F.col("value")))

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador.errors import UnreadableInputError
-from mostrador.operators.cleaning import apply_cleaning, clean, cleaning_report, count_measures, fit_cleaning, settle
+from mostrador.operators.cleaning import apply_cleaning, clean, cleaning_report, settled_bounds
 from mostrador.operators.features import (
+    FeatureParams,
     apply_features,
     engineer_features,
-    fit_features,
-    scale_measures,
-    scales_of,
+    fit_frequency,
+    fit_scales,
     scaling_parameters,
 )
 from mostrador.operators.missingness import mcar_report
@@ -68,14 +70,16 @@ def _keep_rejects(spark: SparkSession, folder: str, target: str) -> None:
 def two_pass(sales: DataFrame, with_frequency: bool = True) -> DataFrame:
     """Fit everything on the given data, then apply it: the production flow.
 
-    Scales are fitted on the data as it came, before imputation. The data is read four times at most: by one
-    aggregate for all counts, means and deviations, one histogram for all quantiles, one frequency table, and to apply.
+    Scales are fitted on the data as it came, before imputation. The data is read four times: by one aggregate for
+    means and deviations, one histogram for all quantiles, one frequency table, and to apply them. The three fits
+    do not need each other, so Spark gets them at the same time.
     """
-    totals = settle(sales.agg(*count_measures(sales), *scale_measures(sales)))
-    counts = totals.select(*[c for c in totals.columns if c == "rows" or c.startswith("nulls_")])
-    cleaning = settle(fit_cleaning(sales, counts=counts))
-    features = fit_features(sales, with_frequency, scales_of(totals.first()))
-    return apply_features(apply_cleaning(sales, cleaning), features)
+    with ThreadPoolExecutor(2) as pool:
+        scales = pool.submit(inheritable_thread_target(sales.sparkSession)(lambda: fit_scales(sales)))
+        bounds = pool.submit(inheritable_thread_target(sales.sparkSession)(lambda: settled_bounds(sales)))
+        table = fit_frequency(sales) if with_frequency else None
+    cleaned = sales if bounds.result() is None else apply_cleaning(sales, bounds.result())
+    return apply_features(cleaned, FeatureParams(scales.result(), table))
 
 
 def one_pass(sales: DataFrame, with_frequency: bool = True) -> DataFrame:

@@ -85,8 +85,7 @@ def test_the_last_range_is_small_at_any_magnitude(frame):
     for values in (tiny, cluster, tiny + cluster):
         hist = distinct_counts(frame([("x", v) for v in values], "column string, value double"), ["column"])
         targets = quantiles._locate(quantiles._coarse(hist, ["column"]), ["column"], [0.25, 0.6])
-        for _ in range(quantiles.FINE_LEVELS):
-            targets = quantiles._narrow(hist, targets, ["column"], True)
+        targets = quantiles._confine(hist, targets, ["column"], True)
         assert quantiles._inside(hist, targets, ["column"], True).groupBy("target").count().agg(F.max("count")).first()[0] <= 1500
         found = column_quantiles(frame([(v,) for v in values], "x double"), ["x"], {"a": 0.25, "b": 0.6}).first()
         assert (found["a"], found["b"]) == pytest.approx(tuple(np.quantile(values, [0.25, 0.6])), rel=1e-14)
