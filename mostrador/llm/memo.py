@@ -5,18 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 
 
-class _Known(dict):
-    """Asked for an unknown key, it notes the key and answers with nothing."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.unknown: list[str] = []
-
-    def __missing__(self, key: str) -> bytes:
-        self.unknown.append(key)
-        return b""
-
-
 class Memo:
     """Results of ``compute`` for the last ``limit`` to ``2 * limit`` keys asked for.
 
@@ -28,30 +16,24 @@ class Memo:
 
     def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], limit: int = 180_000) -> None:
         self._compute, self._limit = compute, limit
-        self._young, self._old = _Known(), _Known()
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def joined(self, lists: Sequence[list[str]]) -> list[bytes]:
         """For each list of keys, its results put together."""
-        young = self._young
-        out, again = [], []
-        for place, keys in enumerate(lists):
-            before = len(young.unknown)
-            out.append(b"".join(map(young.__getitem__, keys)))
-            if len(young.unknown) > before:
-                again.append(place)
-        if again:
-            wanted, passing = set(young.unknown), []
-            young.unknown.clear()
-            young.update((key, self._old[key]) for key in wanted & self._old.keys())
-            new = list(wanted - young.keys())
+        young, passing = self._young, []
+        unknown = set().union(*lists).difference(young)
+        if unknown:
+            young.update((key, self._old[key]) for key in unknown & self._old.keys())
+            new = list(unknown - young.keys())
             for key, value in zip(new, self._compute(new)):
                 young[key] = value
                 if len(key) > 64:
                     passing.append(key)
-            for place in again:
-                out[place] = b"".join(map(young.__getitem__, lists[place]))
-            for key in passing:  # too long to be kept
-                del young[key]
+        known = young.__getitem__
+        out = [b"".join(map(known, keys)) for keys in lists]
+        for key in passing:  # too long to be kept
+            del young[key]
         if len(young) >= self._limit:
-            self._old, self._young = young, _Known()
+            self._old, self._young = young, {}
         return out
