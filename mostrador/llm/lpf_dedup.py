@@ -17,13 +17,17 @@ anchor by itself:
    repeat if a neighbour shares ``LENGTH`` bytes, and a later copy if its run of such
    neighbours holds a smaller position: the longest previous factor.
 5. An anchor with more than ``LIMIT`` different surroundings is not put in one task: its
-   strings are split by offset into narrower blocks, whose anchor is all that the block's
-   strings have in common, and go through 3 and 4 again. With one offset to a block the
-   surroundings are the string itself and the count decides. Nothing is left out.
+   strings are split by offset into blocks, whose anchor is all that the block's strings have
+   in common, and go through 3 and 4 again. A block that is still beyond the limit is halved.
+   One that lies within a passage that all share has one surroundings and is settled while
+   wide, so only the two blocks at the passage's ends are split on. Of equal surroundings only
+   the first goes on, since the others are later copies whatever it is. With one offset to a
+   block the surroundings are the string itself and the count decides. Nothing is left out.
 
 With ``words``, runs of so many words that start in two places are repeats as well, however
 few bytes they have. Each word becomes the ``WORD_BYTES`` bytes of its hash, so a run of
-``words`` words is a string of fixed length again, and the same steps find it in these codes.
+``words`` words is a string of fixed length again, and the same steps find it in these codes,
+where strings, anchors and offsets start at whole words only.
 White space between the words may differ. The strings of ``LENGTH`` bytes are looked for
 beside them, for text whose words are long or not set apart.
 
@@ -44,12 +48,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mostrador.session import shared_folder
+from mostrador.session import remove_folder, shared_folder
 
 LENGTH = 400
 ANCHOR = 64
 LIMIT = 20_000  # about 60 MB of surroundings, their order and flags
-BLOCKS = (16, 1)  # offsets to a block for anchors beyond the limit, then for blocks beyond it
 WORD_BYTES = 8  # of a word's hash
 
 _PART = 1 << 19  # strings of a document looked at together
@@ -103,9 +106,15 @@ def text_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int
     return [(edges[first][0], edges[end - 1][1]) for first, end in places if first < end]
 
 
-def anchors(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of each anchor, and the least and greatest offset of the strings it holds."""
-    data = np.frombuffer(text, np.uint8)
+def anchors(
+    text: bytes, length: int = LENGTH, anchor: int = ANCHOR, unit: int = 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of each anchor, and the least and greatest offset of the strings it holds, in bytes.
+
+    Everything starts and ends at multiples of ``unit`` bytes (1 or 8).
+    """
+    data = np.frombuffer(text, np.uint8 if unit == 1 else np.uint64)
+    length, anchor = length // unit, anchor // unit
     strings = len(data) - length + 1
     places, low, high = [], [], []
     for at in range(0, strings, _PART):
@@ -125,19 +134,27 @@ def anchors(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np
         high.append(chosen[first] - first)
     if not places:
         return (np.zeros(0, np.int64),) * 3
-    return np.concatenate(places), np.concatenate(low), np.concatenate(high)
+    return tuple(np.concatenate(c) * unit for c in (places, low, high))
+
 
+def block_widths(length: int, anchor: int, unit: int) -> list[int]:
+    """Bytes of offsets to a block, halved down to one offset; the widest parts an anchor's offsets in two or more."""
+    widths = [unit]
+    while 4 * widths[0] <= length - anchor + unit:
+        widths.insert(0, 2 * widths[0])
+    return widths
 
-def blocks_of(place: int, low: int, high: int, width: int) -> Iterator[tuple[int, int, int]]:
-    """Block number, least and greatest offset of an anchor's strings, ``width`` offsets to a block."""
+
+def blocks_of(low: int, high: int, width: int, unit: int) -> Iterator[tuple[int, int, int]]:
+    """Block number, least and greatest offset of an anchor's strings, ``width`` bytes of offsets to a block."""
     for number in range(low // width, high // width + 1):
-        yield number, max(low, number * width), min(high, number * width + width - 1)
+        yield number, max(low, number * width), min(high, number * width + width - unit)
 
 
-def common_key(text: bytes, place: int, number: int, width: int, length: int) -> int:
+def common_key(text: bytes, place: int, number: int, width: int, length: int, unit: int) -> int:
     """A hash of what all strings of a block have in common, and of the block's number."""
     start = place - number * width
-    key = xxhash.xxh3_64_intdigest(text[start : start - width + 1 + length], seed=number)
+    key = xxhash.xxh3_64_intdigest(text[start : start - width + unit + length], seed=number)
     return key - (1 << 64) if key >= 1 << 63 else key
 
 
@@ -222,7 +239,7 @@ def _anchor_rows(docs: DataFrame, length: int, anchor: int, code: Code | None) -
                 columns: list[list] = [[] for _ in range(6)]
                 for k, text in enumerate(batch.column(2).slice(at, 200).to_pylist(), at):
                     text = text if code is None else code(text)
-                    places, low, high = anchors(text, length, anchor)
+                    places, low, high = anchors(text, length, anchor, 1 if code is None else WORD_BYTES)
                     digest = xxhash.xxh3_64_intdigest
                     keys = np.array([digest(text[p : p + anchor]) for p in places.tolist()], np.uint64).view(np.int64)
                     for column, values in zip(columns, (np.full(len(places), ids[k]), np.full(len(places), rids[k]), places, low, high, keys)):
@@ -241,8 +258,9 @@ def _anchor_rows(docs: DataFrame, length: int, anchor: int, code: Code | None) -
 def _surroundings(texts: DataFrame, width: int | None, length: int, code: Code | None, whole: bool) -> DataFrame:
     """Rows of the anchors listed beside each text: with a digest of their surroundings, or the bytes if ``whole``.
 
-    With a ``width`` the anchors are split into blocks of so many offsets, with keys of their own.
+    With a ``width`` the anchors are split into blocks of so many bytes of offsets, with keys of their own.
     """
+    unit = 1 if code is None else WORD_BYTES
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,10 +269,10 @@ def _surroundings(texts: DataFrame, width: int | None, length: int, code: Code |
                 text = text if code is None else code(text)
                 for x in listed:
                     place, low, high, key = x["place"], x["low"], x["high"], x["key"]
-                    blocks = [(None, low, high)] if width is None else blocks_of(place, low, high, width)
+                    blocks = [(None, low, high)] if width is None else blocks_of(low, high, width, unit)
                     for number, a, b in blocks:
                         around = text[place - b : place - a + length]
-                        own = key if number is None else common_key(text, place, number, width, length)
+                        own = key if number is None else common_key(text, place, number, width, length, unit)
                         rows.append((id_, rid, place, a, b, own, around if whole else xxhash.xxh3_128_digest(around)))
                         size += len(around) if whole else 64
                 if size > 4 << 20:
@@ -270,12 +288,12 @@ _FOUND_SQL = "number bigint, spans array<struct<from: int, to: int>>, later arra
 _SPANS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
 
-def _runs(flags: np.ndarray) -> list[dict]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return [{"from": int(a), "to": int(b) - 1} for a, b in zip(edges[0::2], edges[1::2])]
+def _runs(flags: np.ndarray, unit: int) -> list[dict]:
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags[::unit].astype(np.int8), [0]]))) * unit
+    return [{"from": int(a), "to": int(b) - unit} for a, b in zip(edges[0::2], edges[1::2])]
 
 
-def _in_order(rows: DataFrame, length: int) -> DataFrame:
+def _in_order(rows: DataFrame, length: int, unit: int) -> DataFrame:
     """Offsets at which each numbered surroundings repeats another of its key."""
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
@@ -284,7 +302,7 @@ def _in_order(rows: DataFrame, length: int) -> DataFrame:
         position = {f: k for k, f in enumerate(sorted((f["id"], f["rid"], f["place"]) for f in first))}
         rank = np.array([position[f["id"], f["rid"], f["place"]] for f in first])
         elsewhere, earlier = repeats(groups, list(around), np.array(low), np.array(high), rank, length)
-        found = [[_runs(row) for row in flags] for flags in (elsewhere, earlier)]
+        found = [[_runs(row, unit) for row in flags] for flags in (elsewhere, earlier)]
         return pa.RecordBatch.from_arrays(
             [pa.array(numbers, pa.int64()), pa.array(found[0], _SPANS), pa.array(found[1], _SPANS)], ["number", "spans", "later"]
         )
@@ -308,44 +326,64 @@ def _in_order(rows: DataFrame, length: int) -> DataFrame:
 _KIND = ["key", "around", "low", "high"]
 
 
+def _spread_join(rows: DataFrame, table: DataFrame, on: list[str], counted: str, parts: int) -> DataFrame:
+    """The stored ``rows`` with what ``table`` holds for them; its ``counted`` is the number of rows to a key.
+
+    Keys with more than a ``4 * parts``-th of all rows are at most ``4 * parts``: those are broadcast
+    and their rows stay where they are. All others are shuffled.
+    """
+    many = rows.count() / (4 * parts)
+    hot, rest = table.where(F.col(counted) > many).drop(counted), table.where(F.col(counted) <= many).drop(counted)
+    here = rows.join(F.broadcast(hot), on)
+    return here.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest, on))
+
+
 def _settled(
     spark: SparkSession, folder: str, rows: DataFrame, texts: DataFrame, length: int, code: Code | None, last: bool
 ) -> tuple[DataFrame, DataFrame | None]:
-    """``id, rid, place, from, to, later`` of the repeats among ``rows``, and the keys beyond the limit."""
+    """``id, rid, place, from, to, later`` of the repeats among ``rows``, and what is beyond the limit: ``id, rid, listed``."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     here = F.struct("id", "rid", "place")
     kinds = rows.groupBy(*_KIND).agg(F.count("*").alias("n"), F.min(here).alias("first"))
     kinds.withColumn("number", F.monotonically_increasing_id()).write.parquet(f"{folder}/kinds")
     kinds = spark.read.parquet(f"{folder}/kinds")
-    keys = kinds.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("n").alias("rows"))
-    several = keys.where((F.col("kinds") > 1) & (F.col("kinds") <= LIMIT)).select("key")
-    hot = keys.where(F.col("kinds") > LIMIT).select("key")
+    kinds.groupBy("key").agg(F.count("*").alias("kinds")).where(F.col("kinds") > 1).write.parquet(f"{folder}/keys")
+    keys = spark.read.parquet(f"{folder}/keys")
+    several, hot = keys.where(F.col("kinds") <= LIMIT), keys.where(F.col("kinds") > LIMIT)
     has_hot = not last and hot.limit(1).count() > 0
     # One text of each different surroundings gives its bytes.
-    wanted = kinds.join(several, "key").select("first.id", "first.rid", "first.place", "low", "high", "key", "number", "first")
-    listed = wanted.groupBy("id", "rid").agg(F.collect_list(F.struct("place", "low", "high", "key")).alias("listed"))
+    wanted = _spread_join(kinds, several, ["key"], "kinds", parts).select(
+        "first.id", "first.rid", "first.place", "low", "high", "key", "number", "first"
+    )
+    spot = F.struct("place", "low", "high", "key")
+    listed = wanted.groupBy("id", "rid").agg(F.collect_list(spot).alias("listed"))
     bytes_ = _surroundings(texts.drop("listed").join(listed, ["id", "rid"]), None, length, code, whole=True)
     numbered = bytes_.join(wanted, ["id", "rid", "place", "low", "high", "key"])
     dealt = numbered.repartition(parts, "key").sortWithinPartitions("key", "number")
-    _in_order(dealt, length).write.parquet(f"{folder}/found")
+    _in_order(dealt, length, 1 if code is None else WORD_BYTES).write.parquet(f"{folder}/found")
     found = spark.read.parquet(f"{folder}/found")
-    # At the last level the surroundings are the string itself, so a key has one kind.
-    alone = kinds if not has_hot else kinds.join(hot, "key", "left_anti")
+    # A surroundings that stands twice repeats whole, whatever else has its key. At the last
+    # level the surroundings are the string itself, so a key has one kind.
     whole = F.array(F.struct(F.col("low").alias("from"), F.col("high").alias("to")))
-    decided = alone.join(found, "number", "left").select(
+    decided = kinds.join(found, "number", "left").select(
         *_KIND,
+        "n",
         "first",
         F.when(F.col("n") > 1, whole).otherwise(F.col("spans")).alias("spans"),
         F.coalesce("later", F.expr("cast(array() as array<struct<from: int, to: int>>)")).alias("later"),
     ).where(F.size("spans") > 0)
-    members = rows.join(decided, _KIND)
+    members = _spread_join(rows, decided, _KIND, "n", parts)
     is_first = F.struct("id", "rid", "place") == F.col("first")
     later = F.when(is_first, F.col("later")).otherwise(whole)
     spans = members.select("id", "rid", "place", F.explode(F.concat(
         F.transform("spans", lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to"), F.lit(False).alias("later"))),
         F.transform(later, lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to"), F.lit(True).alias("later"))),
     )).alias("s")).select("id", "rid", "place", "s.*")
-    return spans, hot if has_hot else None
+    if not has_hot:
+        return spans, None
+    # Only the first of equal surroundings goes on: it stands for the others.
+    left = _spread_join(kinds, hot, ["key"], "kinds", parts).select("first.id", "first.rid", "first.place", "low", "high", "key")
+    return spans, left.groupBy("id", "rid").agg(F.collect_set(spot).alias("listed"))
 
 
 def find_repeats(
@@ -361,19 +399,23 @@ def find_repeats(
     if words is not None:
         ways["listed_words"] = (words * WORD_BYTES, word_code)
     joined = keyed
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for way, (size, code) in ways.items():
-        _anchor_rows(keyed, size, min(anchor, size), code).write.parquet(f"{folder}/{way}/anchors")
-        rows = spark.read.parquet(f"{folder}/{way}/anchors")
-        often = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
-        shared = rows.join(often, "key")
+        _anchor_rows(keyed, size, min(anchor, size), code).write.parquet(f"{folder}/{way}-anchors")
+        rows = spark.read.parquet(f"{folder}/{way}-anchors")
+        rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).write.parquet(f"{folder}/{way}-often")
+        shared = _spread_join(rows, spark.read.parquet(f"{folder}/{way}-often"), ["key"], "n", parts)
         listed = shared.groupBy("id", "rid").agg(F.collect_set(F.struct("place", "low", "high", "key")).alias(way))
         joined = joined.join(listed, ["id", "rid"], "left")
     joined = joined.withColumn("candidate", F.coalesce(*ways).isNotNull())
     joined.write.partitionBy("candidate").parquet(f"{folder}/texts")
     texts = spark.read.schema(joined.schema).parquet(f"{folder}/texts")
+    for way in ways:
+        remove_folder(spark, f"{folder}/{way}-anchors")
+        remove_folder(spark, f"{folder}/{way}-often")
     found = None
-    widths = (None, *BLOCKS)
     for way, (size, code) in ways.items():
+        widths = (None, *block_widths(size, min(anchor, size), 1 if code is None else WORD_BYTES))
         candidates = texts.where("candidate").where(F.col(way).isNotNull()).select(
             "id", "rid", F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.col(way).alias("listed")
         )
@@ -381,7 +423,7 @@ def find_repeats(
             own = f"{folder}/{way}/{level}"
             _surroundings(candidates, width, size, code, whole=False).write.parquet(f"{own}/rows")
             rows = spark.read.parquet(f"{own}/rows")
-            spans, hot = _settled(spark, own, rows, candidates, size, code, level == len(widths) - 1)
+            spans, left = _settled(spark, own, rows, candidates, size, code, level == len(widths) - 1)
             spans = spans.select(
                 "id",
                 "rid",
@@ -391,10 +433,8 @@ def find_repeats(
                 "later",
             )
             found = spans if found is None else found.unionByName(spans)
-            if hot is None:
+            if left is None:
                 break
-            # What is left of each document: its anchors with too many different surroundings.
-            left = rows.join(hot, "key").groupBy("id", "rid").agg(F.collect_set(F.struct("place", "low", "high", "key")).alias("listed"))
             candidates = candidates.drop("listed").join(left, ["id", "rid"])
     return texts, found
 
