@@ -17,12 +17,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier does not reject. Fitted on the labelled rows among ``docs``."""
+    """Documents that the compression classifier does not reject. Fitted on the labelled rows among ``docs``.
+
+    Null and empty texts are scored as empty, very long ones whole; equal texts have one score, so repeated
+    rows stay or go together. An empty table stays empty. Further columns are carried along whatever their names.
+    """
     queries.long_rows(spark)
     model = zstd_quality.fit(docs, queries.training_labels(spark, sf_dir))
     return docs.where(zstd_quality.score(F.col("text"), model) >= queries.QUALITY_THRESHOLD)
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, and the other columns within ``row``, where their names clash with nothing."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others or [F.lit(0).alias("none")]).alias("row"))
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from rows that were ``carried``."""
+    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def told_apart(docs: DataFrame) -> tuple[DataFrame, Column]:
     """One row of each repeated row (same id and text), and a key that tells the rows apart and orders them by id.
 
@@ -39,29 +54,34 @@ def told_apart(docs: DataFrame) -> tuple[DataFrame, Column]:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near duplicates: the one with the least id. Rows without an id come after all others."""
+    """One row of each class of near duplicates: the one with the least id. Rows without an id come after all others.
+
+    Null and empty texts are like nothing and stay; of repeated rows one stays. An empty table stays empty, very long
+    texts are compared whole, and further columns are carried along whatever their names.
+    """
     queries.long_rows(spark)
-    rows, key = told_apart(docs)
+    rows, key = told_apart(carried(docs))
     keyed = rows.withColumn("row_key", key)
     found = near_dup.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"))
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("row_key"))
-    return keyed.join(gone, "row_key", "left_anti").select(*docs.columns)
+    return restored(keyed.join(gone, "row_key", "left_anti"), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document, or place, has already; whole characters go.
 
     A passage is a run of ``PASSAGE_WORDS`` words, or of ``lpf_dedup.LENGTH`` bytes for text whose words are long.
-    Of a row that is there several times one is left.
+    Of a row that is there several times one is left. Null and empty texts stay as they are, an empty table stays
+    empty, very long texts are searched whole, and further columns are carried along whatever their names.
     """
     queries.long_rows(spark)
-    rows, _ = told_apart(docs)
+    rows, _ = told_apart(carried(docs))
     cut = lpf_dedup.remove_repeats(rows, keep_first=True, whole_characters=True, words=PASSAGE_WORDS)
     text = F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))
-    cut = cut.withColumn("text", text)
+    out = restored(cut.withColumn("text", text), docs)
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

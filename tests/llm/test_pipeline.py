@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
 
@@ -107,3 +108,26 @@ def test_a_clean_row_stays_when_its_id_is_shared(spark, stages):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in [(1, a), (2, a), (2, b)]], stages[0].schema)
     found = {(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()}
     assert found == {(1, a), (2, b)}
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_columns_named_as_the_stages_own_come_through(spark, stages, shared):
+    words = [f"w{k:03d}x" for k in range(400)]
+    passage = " ".join(words[:60])
+    texts = [f"{' '.join(words[100:160])} {passage}", f"{passage} {' '.join(words[200:260])}", None, ""]
+    names = ("row_key", "kept", "n_bytes", "spans", "id", "rid", "row", "candidate", "node", "n", "ids", "score", "h1", "a.b")
+    docs = spark.createDataFrame([(1 if shared else k, t, "en", "a", len(t or "")) for k, t in enumerate(texts)], stages[0].schema)
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.lit(" of "), F.coalesce("text", F.lit("nothing"))))
+    told = ["text", *(f"`{n}`" for n in names)]
+    before = {tuple(r) for r in docs.select(told).collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        found = [tuple(r) for r in out.select(told).collect()]
+        assert {f[1:] for f in found} <= {b[1:] for b in before}, name
+        if stage is corpus_pipeline.near_duplicates:
+            assert set(found) == before and len(found) == 4
+        if stage is corpus_pipeline.repeated_passages:
+            assert len(found) == 4 and {f[0] for f in found} != {b[0] for b in before}
+    assert corpus_pipeline.encoding(spark, docs, SF_DIR).count() == 4
