@@ -85,13 +85,21 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Null and empty texts hold none; equal texts stay or go together. Without documents, or without items, all
+    rows stay. Very long texts are searched whole, and further columns are carried along whatever their names.
+    """
     queries.long_rows(spark)
     return decontaminate.without_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, their number, and a digest of the text decoded from them."""
+    """Token ids of each document, their number, and a digest of the text decoded from them.
+
+    Null and empty texts have no ids; very long ones are encoded whole; repeated rows give repeated results, and
+    an empty table an empty one. Further columns of the documents are not part of the result.
+    """
     queries.long_rows(spark)
     coded = bpe.round_trip(docs, queries.WORDS, keep=("doc_id", "lang", "source"))
     return coded.select(

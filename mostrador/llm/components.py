@@ -4,6 +4,9 @@ Every round hangs the larger neighbours of each node, then its smaller ones, on
 least of them. Rows per round are at most those of the links; the number of rounds grows
 with the logarithm of the longest path. Each round is written to the shared folder, so
 a lost executor costs one re-read, and only one pair of totals comes to the driver.
+
+Edge cases: links with a null end and links of a node to itself are left out, repeated links
+count once, no links give no rows, and columns besides the two ends are not looked at.
 """
 
 from __future__ import annotations
