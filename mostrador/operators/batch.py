@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mostrador import schema as S
-from mostrador.operators.filters import MONTH_COLUMN
-from mostrador.operators.requests import EQUALITIES, request_bounds
+from mostrador.operators.filters import EQUALITIES, MONTH_COLUMN
+from mostrador.operators.requests import request_bounds
 from mostrador.operators.summary import statistics
 from mostrador.operators.time_tree import ALL_LEVEL, TimeGrid, add_covering_nodes, fit_grid, node_at, segment
 from mostrador.session import shared_folder
@@ -51,9 +51,8 @@ def _sales_keys(sales: DataFrame, signatures: Sequence[str], grid: TimeGrid | No
     """(cell, value, signature, key): every sale under the key of each signature in use; sales missing a key column drop out."""
 
     def column(name: str) -> Column:
-        source, kind = EQUALITIES[name]
-        value = F.col(source).cast(kind)
-        return (F.lower(value) if name == "ID_PERSONA" else value).cast("string")
+        spec = EQUALITIES[name]
+        return spec.prepared(F.col(spec.column).cast(spec.kind)).cast("string")
 
     entries = []
     for signature in signatures:
@@ -62,7 +61,7 @@ def _sales_keys(sales: DataFrame, signatures: Sequence[str], grid: TimeGrid | No
         entries.append(F.struct(F.lit(signature).alias("signature"), key.alias("key")))
     kept = sales.where(F.col(measure).isNotNull() & ~F.isnan(F.col(measure).cast("double")))
     cell = F.lit(None).cast("bigint") if grid is None else segment(F.col("fecha"), grid)
-    sources = sorted({EQUALITIES[n][0] for s in signatures for n, bit in zip(EQUALITIES, s) if bit == "1"})
+    sources = sorted({EQUALITIES[n].column for s in signatures for n, bit in zip(EQUALITIES, s) if bit == "1"})
     placed = kept.select(cell.alias("cell"), F.col(measure).cast("double").alias("value"), *sources)
     return placed.select("cell", "value", F.inline(F.array(*entries))).where("key is not null")
 

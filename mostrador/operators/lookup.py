@@ -5,42 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys sent to every executor at most: about 10 MB of identifiers and numbers.
-BROADCAST_KEYS = 100_000
-_SPREAD = 1 << 20
+BROADCAST_BYTES = 16 << 20  # sent to every executor at most
+_PER_KEY = 64  # bytes of a key's entry beside the key
 
 
 def lookup_by_key(
-    rows: DataFrame, table: DataFrame, key: str, value: str, weight: str, broadcast_keys: int = BROADCAST_KEYS
+    rows: DataFrame, table: DataFrame, key: str, value: str, weight: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left lookup of ``table.value`` by ``key``; no row is added or lost.
 
     ``table`` holds one row per key and the number of rows it has in ``weight``.
     It is read several times, so it should be a stored or checkpointed one.
 
-    Up to ``broadcast_keys`` keys, the table is broadcast. Beyond that, only its
-    hot keys are: those with more than one part in ``broadcast_keys`` of all
-    rows, of which there can never be more than ``broadcast_keys``. Their rows,
-    and the rows without a key, take part in the second join under spread-out
-    keys that match nothing, so no shuffle partition receives a hot group.
+    Its longest key says how many keys ``broadcast_bytes`` hold in any case. Up to that many keys, the
+    table is broadcast. Beyond that, only its hot keys are: those with more than their share
+    of all rows, of which there can never be more than that many. The rows of hot keys and the rows
+    without a key take no part in the shuffle: they stay in the tasks that read them, so however
+    alike they are, no task gathers them, and a task that is run again sends nothing elsewhere. All
+    others are shuffled. ``rows`` is read twice then.
     """
-    if table.limit(broadcast_keys + 1).count() <= broadcast_keys:
-        return rows.join(F.broadcast(table.select(key, value)), key, "left")
-
-    total = table.agg(F.sum(weight)).first()[0]
-    hot = table.where(F.col(weight) > total / broadcast_keys).select(
-        F.col(key), F.col(value).alias("_hot_value"), F.lit(True).alias("_hot")
-    )
-    joined = rows.join(F.broadcast(hot), key, "left")
-    # The spread is a hash of the row, never a random number: a task that is run
-    # again after an executor loss must send its rows where they went before.
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*rows.columns), F.lit(_SPREAD)).cast("string"))
-    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
-    cold = joined.withColumn("_cold_key", F.when(settled, spread).otherwise(F.col(key).cast("string")))
-    rest = table.select(F.col(key).cast("string").alias("_cold_key"), F.col(value).alias("_cold_value"))
-    found = F.when(F.col("_hot").isNotNull(), F.col("_hot_value")).otherwise(F.col("_cold_value"))
-    return (
-        cold.join(rest, "_cold_key", "left")
-        .withColumn(value, found)
-        .drop("_cold_key", "_hot", "_hot_value", "_cold_value")
-    )
+    measured = table.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.max(F.octet_length(F.col(key).cast("string"))).alias("longest"),
+        F.sum(weight).alias("rows"),
+    ).first()
+    fitting = broadcast_bytes // ((measured["longest"] or 0) + _PER_KEY)
+    values = table.select(key, value)
+    if measured["keys"] <= fitting:
+        return rows.join(F.broadcast(values), key, "left")
+
+    hot = table.where(F.col(weight) > measured["rows"] / max(fitting, 1))
+    here = rows.join(F.broadcast(hot.select(key, value, F.lit(True).alias("_hot"))), key, "left")
+    settled = here.where(F.col("_hot").isNotNull() | F.col(key).isNull()).drop("_hot")
+    others = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
+    return settled.unionByName(others.join(values, key, "left"))

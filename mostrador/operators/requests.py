@@ -7,29 +7,10 @@ from pyspark.sql import functions as F
 
 from mostrador import schema as S
 from mostrador.errors import FilterError
-from mostrador.functions.casting import to_sale_time
-from mostrador.functions.keys import canonical_uuid
+from mostrador.operators.filters import BOUNDS, EQUALITIES, accepted_value, filter_name, refusal
 
-_SPACE = " \t\n\r\x0b\x0c"
-_INTEGER = "^[+-]?[0-9]+(_[0-9]+)*$"
 _STATUS_NONE, _STATUS_FILTERS, _STATUS_ERROR = "sin_filtros", "con_filtros", "error"
 
-# Equality filters: request name -> (column of the sales, type both sides compare in).
-EQUALITIES = {
-    "GENERO": ("genero", "bigint"),
-    "EDAD": ("edad", "double"),
-    "CANAL": ("canal", "string"),
-    "CODIGO_PRODUCTO": ("sku", "bigint"),
-    "ID_PERSONA": ("codigo_cliente", "string"),
-    "LOCAL": ("local", "bigint"),
-}
-_NUMBERS = ("EDAD", "CODIGO_PRODUCTO", "LOCAL")
-_DATES = ("FECHA_DESDE", "FECHA_HASTA")
-
-
-def _strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(_SPACE))
-
 
 def _text_field(element: Column, name: str) -> Column:
     """A field of a JSON object if it is text, else NULL (numbers are not text)."""
@@ -54,7 +35,7 @@ def parse_requests(requests: DataFrame) -> DataFrame:
         F.transform(
             F.try_variant_get("doc", "$.consultas", "array<variant>"),
             lambda e: F.struct(
-                F.upper(_strip(_text_field(e, "consulta"))).alias("consulta"),
+                filter_name(_text_field(e, "consulta")).alias("consulta"),
                 _text_field(e, "valor").alias("valor"),
             ),
         ).alias("filters"),
@@ -95,51 +76,22 @@ def parsed_filters(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _rejection(name: Column, value: Column) -> Column:
-    """The message for an unacceptable filter, NULL for an acceptable one."""
-    text = _strip(value)
-
-    def message(template: str, *parts: Column) -> Column:
-        return F.format_string(template.replace("%", "%%").replace("{}", "%s"), *parts)
-
-    def readable(which: str) -> Column:
-        return F.lit(S.READABLE_NAMES[which])
-
-    result = F.when(~name.isin(*S.FILTER_NAMES), message(S.MSG_UNKNOWN_FILTER, name))
-    result = result.when(
-        (name == "GENERO") & ~F.lower(text).isin(*S.GENDER_CODES), message(S.MSG_GENDER, value)
-    )
-    result = result.when(
-        (name == "CANAL") & ~F.upper(text).isin(*S.CHANNELS), message(S.MSG_CHANNEL, value)
-    )
-    for which in _NUMBERS:
-        result = result.when(
-            (name == which) & ~text.rlike(_INTEGER), message(S.MSG_INTEGER, value, readable(which))
-        )
-    result = result.when(
-        (name == "ID_PERSONA") & canonical_uuid(text).isNull(),
-        message(S.MSG_UUID, value, readable("ID_PERSONA")),
-    )
-    for which in _DATES:
-        result = result.when(
-            (name == which) & to_sale_time(text).isNull(), message(S.MSG_DATE, value, readable(which))
-        )
-    return result
-
-
 def validate_requests(parsed: DataFrame) -> DataFrame:
     """``parsed`` with ``detail`` also set for requests whose filters are not acceptable.
 
     As with a single request, the first unacceptable filter is the one reported.
-    Requests that share an identifier cannot be answered under it and are all rejected.
+    Requests that share an identifier cannot be answered under it and are all rejected,
+    and so is each request without one.
     """
-    messages = F.transform("filters", lambda f: _rejection(f.consulta, f.valor))
+    messages = F.transform("filters", lambda f: refusal(f.consulta, f.valor))
     first = F.get(F.filter(messages, lambda m: m.isNotNull()), F.lit(0))
-    checked = parsed.withColumn("detail", F.coalesce("detail", first))
+    # Without an identifier there is nothing to compare, so these stay out of the window.
+    nameless = parsed.where("request_id is null").withColumn("detail", F.lit(S.MSG_MISSING_REQUEST_ID))
+    checked = parsed.where("request_id is not null").withColumn("detail", F.coalesce("detail", first))
     # The count also keeps later filters on the message from being computed below it a second time.
     copies = F.count(F.lit(1)).over(Window.partitionBy("request_id"))
     repeated = F.when(F.col("copies") > 1, F.lit(S.MSG_REPEATED_REQUEST)).otherwise(F.col("detail"))
-    return checked.withColumn("copies", copies).withColumn("detail", repeated).drop("copies")
+    return checked.withColumn("copies", copies).withColumn("detail", repeated).drop("copies").unionByName(nameless)
 
 
 def request_errors(validated: DataFrame) -> DataFrame:
@@ -152,35 +104,20 @@ def request_errors(validated: DataFrame) -> DataFrame:
     )
 
 
-def _equality_key(name: Column, value: Column) -> Column:
-    """The value of an equality filter as the text both sides of the join are compared by."""
-    text = _strip(value)
-    codes = F.create_map(*[F.lit(x) for pair in S.GENDER_CODES.items() for x in pair])
-    number = F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint")
-    return (
-        F.when(name == "GENERO", F.try_element_at(codes, F.lower(text)).cast("string"))
-        .when(name == "CANAL", F.upper(text))
-        .when(name == "ID_PERSONA", canonical_uuid(text))
-        .when(name == "EDAD", number.cast("double").cast("string"))
-        .when(name.isin(*_NUMBERS), number.cast("string"))
-    )
-
-
 def request_bounds(validated: DataFrame) -> DataFrame:
     """One row per valid request: a key per equality filter, two time bounds, ``possible``.
 
     A filter repeated with different values, or a number no column can hold,
     makes the request impossible: its answer is the empty one.
     """
+    name, text = F.col("name"), F.col("text")
+    key = F.lit(None).cast("string")
+    for which, spec in EQUALITIES.items():
+        key = F.when(name == which, spec.value(text).cast("string")).otherwise(key)
     entries = (
         validated.select("request_id", "detail", F.explode_outer("filters").alias("f"))
-        .select(
-            "request_id",
-            "detail",
-            F.col("f.consulta").alias("name"),
-            _equality_key(F.col("f.consulta"), F.col("f.valor")).alias("key"),
-            F.when(F.col("f.consulta").isin(*_DATES), to_sale_time(_strip(F.col("f.valor")))).alias("at"),
-        )
+        .select("request_id", "detail", F.col("f.consulta").alias("name"), accepted_value(F.col("f.consulta"), F.col("f.valor")).alias("text"))
+        .select("request_id", "detail", "name", key.alias("key"), F.when(name.isin(*BOUNDS), text.try_cast("timestamp_ntz")).alias("at"))
     )
     lowest, agree = [], F.lit(True)
     for name in EQUALITIES:

@@ -157,6 +157,7 @@ MSG_EMPTY_REQUEST = (
     "Omita el campo por completo (o envíe un body `{}`) para consultar sin filtros, "
     "o envíe una lista con uno o más filtros."
 )
+MSG_MISSING_REQUEST_ID = "La solicitud no tiene identificador."
 MSG_REPEATED_REQUEST = "El identificador de la solicitud está repetido."
 MSG_MALFORMED_REQUEST = "El cuerpo de la solicitud no tiene el formato esperado: {}."
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from mostrador.operators import features
 from mostrador.operators.lookup import lookup_by_key
@@ -48,8 +49,8 @@ def test_frequency_counts_distinct_receipts(frame):
     assert {tuple(r) for r in joined} == {("C1", 2, 3), ("C2", 1, 1), (None, None, 1), ("C3", 0, 1)}
 
 
-@pytest.mark.parametrize("broadcast_keys", [2, 100_000])
-def test_lookup_is_the_same_with_hot_keys_apart(spark, broadcast_keys):
+@pytest.mark.parametrize("broadcast_bytes", [150, 1 << 24])
+def test_lookup_is_the_same_with_hot_keys_apart(spark, broadcast_bytes):
     """One key holds half of the rows, a quarter has no key, some keys are unknown."""
     rows = spark.sql(
         "SELECT id, CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 4 = 1 THEN NULL ELSE concat('k', id % 40) END AS k "
@@ -58,7 +59,7 @@ def test_lookup_is_the_same_with_hot_keys_apart(spark, broadcast_keys):
     table = spark.sql(
         "SELECT k, n AS v, n AS w FROM VALUES ('hot', 2000L), ('k3', 100L), ('k7', 100L), ('k11', 100L) AS t(k, n)"
     )
-    got = {r["id"]: r["v"] for r in lookup_by_key(rows, table, "k", "v", "w", broadcast_keys).collect()}
+    got = {r["id"]: r["v"] for r in lookup_by_key(rows, table, "k", "v", "w", broadcast_bytes).collect()}
     assert len(got) == 4000
     for i, v in got.items():
         want = 2000 if i % 2 == 0 else None
@@ -67,6 +68,28 @@ def test_lookup_is_the_same_with_hot_keys_apart(spark, broadcast_keys):
         assert v == want, i
 
 
+def test_lookup_bound_counts_bytes_of_keys(spark):
+    """The same number of keys is broadcast or not by how long they are."""
+    rows = spark.sql("SELECT id, cast(id % 50 as string) AS k FROM range(200)")
+
+    def shuffled(length: int) -> bool:
+        table = spark.sql(f"SELECT lpad(cast(id as string), {length}, 'x') AS k, id AS v, 4L AS w FROM range(50)")
+        plan = lookup_by_key(rows, table, "k", "v", "w", 8_000)._jdf.queryExecution().optimizedPlan().toString()
+        return "Union" in plan
+
+    assert not shuffled(10) and shuffled(500)
+
+
+def test_identical_rows_of_a_hot_key_stay_spread(spark):
+    """A million rows alike in every column, whose key is hot, stay in all tasks; each is found once."""
+    rows = spark.range(0, 1_000_000, 1, 8).select(F.when(F.col("id") >= 0, "hot").alias("k"), F.lit(1).alias("x"))
+    table = spark.sql("SELECT * FROM VALUES ('hot', 7L, 1000000L) AS t(k, v, w) UNION ALL SELECT concat('k', id), id, 1L FROM range(500)")
+    found = lookup_by_key(rows, table, "k", "v", "w", 10_000)
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+    tasks = found.groupBy(F.spark_partition_id()).agg(F.count("*"), F.min("v"), F.max("v")).collect()
+    assert sorted(tuple(r)[1:] for r in tasks) == [(125_000, 7, 7)] * 8
+
+
 def test_standardize(frame):
     df = frame([(float(v), 5, 1) for v in (10, 20, 30, 40, 50)], "MONTO_APLICADO double, UNIDADES bigint, X int")
     scaled, scales = features.standardize(df)
