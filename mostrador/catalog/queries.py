@@ -70,7 +70,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def input_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of data in the extract's files: their lengths less a header line each, however many files there are."""
-    files = extract.input_manifest(spark, tables.csv_extract(spark, sf_dir))
+    files = extract.input_manifest(spark, tables.csv_extract(spark, sf_dir, packed=False))
     header = len(f"{S.SEPARATOR.join(S.RAW_COLUMNS)}\n".encode())
     return files.agg((F.sum("length") - F.count("*") * header).alias("data_bytes"))
 
