@@ -45,9 +45,12 @@ def to_decimal(c: Column) -> Column:
 
 def to_integer(c: Column) -> Column:
     """Text to bigint; ``1.0`` is accepted as 1 because its value is integral."""
-    # The second branch runs only for text that is no plain integer.
-    wide = to_decimal(c)
-    integral = F.when((wide == F.floor(wide)) & (F.abs(wide) <= _EXACT_DOUBLE), wide.try_cast("bigint"))
+    # The second branch runs only for text that is no plain integer. Its value is named: written out three times for
+    # every column, the code of a row is too long for the JVM to compile.
+    integral = _named(
+        to_decimal(c),
+        lambda wide: F.when((wide == F.floor(wide)) & (F.abs(wide) <= _EXACT_DOUBLE), wide.try_cast("bigint")),
+    )
     return F.coalesce(c.try_cast("bigint"), integral)
 
 
