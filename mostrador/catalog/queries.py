@@ -146,7 +146,7 @@ def month_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.to_fact_columns(flows.two_pass(tables.sales(spark, sf_dir, product=True)))
+    return facts.to_fact_columns(flows.two_pass(tables.sales(spark, sf_dir, product=True, stored=True)))
 
 
 def month_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,12 +305,12 @@ _FEATURES = (*_LINE, "monto_por_unidad", "edad", "frecuencia_compra", *_SCALED)
 
 def engineer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exploratory flow: scales are fitted on the imputed data."""
-    return _rounded(_lower(flows.one_pass(tables.sales(spark, sf_dir))), 6, *_SCALED).select(*_FEATURES)
+    return _rounded(_lower(flows.one_pass(tables.sales(spark, sf_dir, stored=True))), 6, *_SCALED).select(*_FEATURES)
 
 
 def apply_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The production flow: scales are fitted on the data as it came."""
-    return _rounded(_lower(flows.two_pass(tables.sales(spark, sf_dir))), 6, *_SCALED).select(*_FEATURES)
+    return _rounded(_lower(flows.two_pass(tables.sales(spark, sf_dir, stored=True))), 6, *_SCALED).select(*_FEATURES)
 
 
 def global_feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
