@@ -182,26 +182,24 @@ def medians(asks: DataFrame, sizes: DataFrame, hist: DataFrame, folder: str) ->
     rounds = max(1, -(-max(0, distinct - 1).bit_length() // DIGIT_BITS))
     # The middle row, or the two of them.
     middle = F.array(*[F.struct(F.lit(k).alias("side"), F.floor(p).cast("bigint").alias("rank")) for k, p in enumerate(((F.col("n") - 1) / 2, F.col("n") / 2))])
-    state = asks.select("ask", "group", "nodes").join(sizes.select("ask", "n"), "ask")
-    state = state.select("ask", "group", "nodes", F.lit(0).cast("bigint").alias("prefix"), F.inline(middle))
+    # Written out once: in the rounds no row carries the list of its nodes.
+    paths = _stored(asks.select("ask", "group", F.inline("nodes")), f"{folder}/paths")
+    state = sizes.select("ask", F.lit(0).cast("bigint").alias("prefix"), F.inline(middle))
     for round_ in reversed(range(rounds)):
         low = DIGIT_BITS * round_
         state = _stored(state, f"{folder}/search-{round_}")
         digits, prefix = F.shiftright("rank", low).alias("digits"), F.shiftright("rank", low + DIGIT_BITS)
         # Only what some ask still looks at is counted.
-        looked_at = state.select("group", "prefix", F.inline("nodes")).distinct()
+        looked_at = paths.join(state.select("ask", "prefix").distinct(), "ask").select(*_NODE, "prefix").distinct()
         inside = numbered.select(*_NODE, prefix.alias("prefix"), digits, "n").join(looked_at, [*_NODE, "prefix"])
         counts = inside.groupBy(*_NODE, "prefix", "digits").agg(F.sum("n").alias("n"))
-        met = state.select("ask", "side", "group", "prefix", "rank", "nodes", F.inline("nodes")).join(counts, [*_NODE, "prefix"])
-        added = met.groupBy("ask", "side").agg(
-            F.first("group").alias("group"),
-            F.first("nodes").alias("nodes"),
-            F.first("rank").alias("rank"),
-            F.collect_list(F.struct(F.col("digits").alias("prefix"), "n")).alias("counts"),  # nodes times 32 at most
-        )
-        state = added.withColumn("at", _chosen(F.col("counts"), F.col("rank"))).select(
-            "ask", "side", "group", "nodes", F.col("at.prefix").alias("prefix"), F.col("at.rank").alias("rank")
-        )
+        met = paths.join(state.select("ask", "side", "prefix"), "ask").join(counts, [*_NODE, "prefix"])
+        # Added up over the nodes before they are listed: 32 entries at most.
+        added = met.groupBy("ask", "side", "digits").agg(F.sum("n").alias("n"))
+        listed = added.groupBy("ask", "side").agg(F.collect_list(F.struct(F.col("digits").alias("prefix"), "n")).alias("counts"))
+        state = state.select("ask", "side", "rank").join(listed, ["ask", "side"]).select(
+            "ask", "side", _chosen(F.col("counts"), F.col("rank")).alias("at")
+        ).select("ask", "side", F.col("at.prefix").alias("prefix"), F.col("at.rank").alias("rank"))
     found = state.join(values.withColumnRenamed("rank", "prefix"), "prefix").groupBy("ask").agg(
         F.max(F.when(F.col("side") == 0, F.col("value"))).alias("lower"), F.max(F.when(F.col("side") == 1, F.col("value"))).alias("upper")
     )

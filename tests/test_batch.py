@@ -137,3 +137,26 @@ def test_months_no_request_asks_for_are_not_read(spark, processed, folder):
     open_ended = ranges.unionByName(spark.createDataFrame([(3, None, dt.datetime(2023, 2, 1))], RANGES))
     low = batch.within_bounds(facts, open_ended)._jdf.queryExecution().executedPlan().toString()
     assert ">= 2023-02" not in low and "<= 2023-02" in low
+
+
+def test_no_round_of_the_search_carries_lists_of_nodes(spark, monkeypatch):
+    day = dt.datetime(2020, 1, 1)
+    sales = spark.createDataFrame([(day + dt.timedelta(days=k), "POS", float(k * k)) for k in range(70)], SALES)
+    bounds = [((day + dt.timedelta(days=a)).isoformat(), (day + dt.timedelta(days=b)).isoformat()) for a, b in [(0, 69), (3, 44), (10, 11)]]
+    bodies = [
+        (f"r{k}", json.dumps({"consultas": [{"consulta": "FECHA_DESDE", "valor": a}, {"consulta": "FECHA_HASTA", "valor": b}]}))
+        for k, (a, b) in enumerate(bounds)
+    ]
+    rounds, stored = [], batch._stored
+
+    def noted(df, folder):
+        if "/search-" in folder:
+            rounds.append(df)
+        return stored(df, folder)
+
+    monkeypatch.setattr(batch, "_stored", noted)
+    parsed = requests.parse_requests(spark.createDataFrame(bodies, "request_id string, body string"))
+    found = batch.batch_summary(sales, requests.validate_requests(parsed), "monto_aplicado").collect()
+    assert {r["request_id"]: r["mediana"] for r in found} == {"r0": (34**2 + 35**2) / 2, "r1": (23**2 + 24**2) / 2, "r2": 110.5}
+    assert len(rounds) == 2
+    assert all("nodes" not in df.columns for df in rounds)
