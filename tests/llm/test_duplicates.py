@@ -176,6 +176,19 @@ def test_whole_characters_stay(frame):
     assert hashlib.sha256(b"").digest()
 
 
+def test_places_of_a_common_passage_are_not_joined_one_by_one(frame, tmp_path):
+    r = random.Random(6)
+    common = _sentence(r, 400)
+    texts = [f"{_sentence(r, 5)} {common} {_sentence(r, 5)}" for _ in range(30)]
+    docs = frame(list(enumerate(texts)), "doc_id bigint, text string")
+    _, found = lpf_dedup.find_repeats(docs, str(tmp_path / "repeats"), 60, 16)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Join" in line and "around#" in line]
+    # Every document has many places of the passage, and all but the first document's are later copies.
+    assert found.where("later").select("id").distinct().count() == 29
+    assert found.where("not later").select("id").distinct().count() == 30
+
+
 @pytest.mark.parametrize("limit", [20_000, 3])
 def test_repeated_runs_of_words_equal_brute_force(frame, monkeypatch, limit):
     monkeypatch.setattr(lpf_dedup, "LIMIT", limit)
