@@ -189,6 +189,18 @@ def test_places_of_a_common_passage_are_not_joined_one_by_one(frame, tmp_path):
     assert found.where("not later").select("id").distinct().count() == 30
 
 
+def test_later_copies_of_a_document_stay_together(frame, tmp_path):
+    r = random.Random(8)
+    common = _sentence(r, 400)
+    texts = [f"{_sentence(r, 5)} {common} {_sentence(r, 5)}" for _ in range(30)]
+    _, found = lpf_dedup.find_repeats(frame(list(enumerate(texts)), "doc_id bigint, text string"), str(tmp_path / "repeats"), 60, 16)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # The passage is over 2,000 bytes long, so a document has dozens of places in it.
+    rows = found.where("later").selectExpr("id", "size(cuts) as n").collect()
+    assert all(sum(row.n for row in rows if row.id == k) > 30 for k in range(1, 30))
+    assert len(rows) < 30 * 10
+
+
 @pytest.mark.parametrize("limit", [20_000, 3])
 def test_repeated_runs_of_words_equal_brute_force(frame, monkeypatch, limit):
     monkeypatch.setattr(lpf_dedup, "LIMIT", limit)
