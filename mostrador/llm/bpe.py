@@ -13,12 +13,14 @@ ids outside the vocabulary are skipped by decoding, as the public library does.
 from __future__ import annotations
 
 import json
+import string
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from mostrador.llm.memo import Memo
 
 _NONE = 1 << 62
 _TOGETHER = 500  # texts whose unknown words are encoded at once
+_CHARACTERS = 4_000_000  # or as few as have so many characters
 _SLICE = 500  # texts handed back at once
 # The pattern of the word vocabulary's pre-tokenizer; white space is dropped.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -243,58 +246,102 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
+def _taken(values: bytes | np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The listed runs of ids, one after the other, and where they start and the last one ends; ``sizes`` parts the ids into runs."""
+    own = sizes[which]
+    reach = np.concatenate([[0], np.cumsum(own)])
+    moved = (np.cumsum(sizes) - sizes)[which] - reach[:-1]
+    return np.frombuffer(values, "<i4")[np.repeat(moved, own) + np.arange(reach[-1])], reach
+
+
 class WordEncoder:
     """Encoder and decoder for the vocabulary with word ends.
 
     No piece spans white space and special tokens hold none, so a text is encoded
-    chunk by chunk; chunks met before are remembered.
+    chunk by chunk. Arrow splits texts and numbers their distinct chunks, so Python sees each
+    chunk of a request once; pieces met before are remembered.
     """
 
     def __init__(self, path: str) -> None:
         self.table = MergeTable(path)
         self._special = regex.compile("|".join(map(regex.escape, self.table.specials)))
-        self._chunks = Memo(self._merge_chunks)
+        self._ids = {" " + text: np.array([n], "<i4").tobytes() for text, n in self.table.specials.items()}
+        self._pieces = Memo(self._merge_pieces)
 
     @staticmethod
-    def _folded_chunks(text: str) -> list[str]:
+    def _folded(text: str) -> str:
         if not text.isascii():
             # Letters are lowered one by one, so a final sigma has no form of its own.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return chunks_of(text.lower())
+        return text.lower()
 
-    def _keys(self, text: str | None) -> list[str]:
+    def _keys(self, text: str) -> list[str]:
         """The folded chunks of a text; special tokens stand between them behind a blank, which no chunk holds."""
-        if not text:
-            return []
-        if "<|" not in text:
-            return self._folded_chunks(text)
         out, start = [], 0
-        for found in self._special.finditer(text):
-            out += [*self._folded_chunks(text[start : found.start()]), " " + found[0]]
+        for found in self._special.finditer(text) if "<|" in text else ():
+            out += [*chunks_of(self._folded(text[start : found.start()])), " " + found[0]]
             start = found.end()
-        return out + self._folded_chunks(text[start:])
-
-    def _parts(self, chunk: str) -> list[str]:
-        if chunk.isalpha():
-            return [chunk]
-        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
-            return [chunk[:-1], chunk[-1]]
-        return [chunk] if chunk[0] == " " else _PIECE.findall(chunk)
-
-    def _merge_chunks(self, chunks: list[str]) -> Iterator[bytes]:
-        parts = list(map(self._parts, chunks))
-        ids = {" " + text: np.array([n], "<i4").tobytes() for text, n in self.table.specials.items()}
-        distinct = list(set().union(*parts).difference(ids))
-        ids.update(zip(distinct, self.table.merge_all([p.encode() for p in distinct])))
-        return (b"".join(map(ids.__getitem__, p)) for p in parts)
+        return out + chunks_of(self._folded(text[start:]))
+
+    def _merge_pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        merged = iter(self.table.merge_all([p.encode() for p in pieces if p not in self._ids]))
+        return (self._ids[p] if p in self._ids else next(merged) for p in pieces)
+
+    def _encode_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks one after the other, and how many each has."""
+        words = pc.utf8_rtrim(chunks, string.punctuation)
+        marks = pc.subtract(pc.binary_length(chunks), pc.binary_length(words)).to_numpy()
+        # Letters are one piece, and so are the marks behind them; all else is left to the pattern.
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        numbered = words.filter(pa.array(letters)).dictionary_encode()
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        texts, marked = chunks.to_numpy(zero_copy_only=False), letters & (marks > 0)
+        tails = [text[-n:] for text, n in zip(texts[marked].tolist(), marks[marked].tolist())]
+        parts = [[c] if c[:1] == " " else _PIECE.findall(c) for c in texts[~letters].tolist()]
+        others = {p: k for k, p in enumerate(set(tails).union(*parts), len(pieces))}
+        counts = 1 + marked.astype(np.int64)
+        counts[~letters] = list(map(len, parts))
+        ends = np.cumsum(counts)
+        first = ends - counts
+        which = np.empty(counts.sum(), np.int64)
+        which[first[letters]] = numbered.indices.to_numpy()
+        which[first[marked] + 1] = [others[t] for t in tails]
+        which[np.repeat(~letters, counts)] = [others[p] for own in parts for p in own]
+        found = self._pieces.results(pieces + list(others))
+        values, reach = _taken(b"".join(found), np.fromiter(map(len, found), np.int64, len(found)) // 4, which)
+        return values, reach[ends] - reach[first]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens and separators."""
+        chunks = pc.utf8_split_whitespace(pa.array(map(self._folded, texts), pa.large_string()))
+        numbered = chunks.values.dictionary_encode()
+        values, sizes = self._encode_chunks(numbered.dictionary)
+        values, reach = _taken(values, sizes, numbered.indices.to_numpy())
+        edges, raw = (4 * reach[chunks.offsets.to_numpy()]).tolist(), values.tobytes()
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        out = []
-        for at in range(0, len(texts), _TOGETHER):
-            out += self._chunks.joined(list(map(self._keys, texts[at : at + _TOGETHER])))
+        out = [b""] * len(texts)
+        plain, size = [], 0
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if "<|" in text or any(s in text for s in _SEPARATORS):
+                out[k] = self._encode_chunks(pa.array(self._keys(text), pa.large_string()))[0].tobytes()
+                continue
+            plain.append(k)
+            size += len(text)
+            if len(plain) == _TOGETHER or size > _CHARACTERS:
+                self._fill(out, texts, plain)
+                plain, size = [], 0
+        self._fill(out, texts, plain)
         return out
 
+    def _fill(self, out: list[bytes], texts: list[str | None], places: list[int]) -> None:
+        for k, ids in zip(places, self._encode_plain([texts[k] for k in places])):
+            out[k] = ids
+
     def decode(self, ids: list[int] | None) -> str:
         tokens = self.table.tokens
         known = len(tokens)

@@ -21,8 +21,26 @@ class Memo:
 
     def joined(self, lists: Sequence[list[str]]) -> list[bytes]:
         """For each list of keys, its results put together."""
+        passing = self._ask(set().union(*lists))
+        known = self._young.__getitem__
+        out = [b"".join(map(known, keys)) for keys in lists]
+        self._forget(passing)
+        return out
+
+    def results(self, keys: list[str]) -> list[bytes]:
+        """The result of each key."""
+        out = list(map(self._young.get, keys))
+        missing = [place for place, value in enumerate(out) if value is None]
+        passing = self._ask({keys[place] for place in missing})
+        for place in missing:
+            out[place] = self._young[keys[place]]
+        self._forget(passing)
+        return out
+
+    def _ask(self, keys: set[str]) -> list[str]:
+        """Put all keys among the young; returns those too long to be kept."""
         young, passing = self._young, []
-        unknown = set().union(*lists).difference(young)
+        unknown = keys.difference(young)
         if unknown:
             young.update((key, self._old[key]) for key in unknown & self._old.keys())
             new = list(unknown - young.keys())
@@ -30,10 +48,10 @@ class Memo:
                 young[key] = value
                 if len(key) > 64:
                     passing.append(key)
-        known = young.__getitem__
-        out = [b"".join(map(known, keys)) for keys in lists]
-        for key in passing:  # too long to be kept
-            del young[key]
-        if len(young) >= self._limit:
-            self._old, self._young = young, {}
-        return out
+        return passing
+
+    def _forget(self, passing: list[str]) -> None:
+        for key in passing:
+            del self._young[key]
+        if len(self._young) >= self._limit:
+            self._old, self._young = self._young, {}

@@ -48,6 +48,19 @@ def test_encoder_equals_the_library(words):
         assert encoder.decode(ids) == words.decode(ids, skip_special_tokens=False)
 
 
+def test_pieces_met_before_are_not_merged_again(words, monkeypatch):
+    monkeypatch.setattr(bpe, "_CHARACTERS", 40, raising=False)  # several requests for one list of texts
+    encoder, merged = bpe.WordEncoder(WORDS), []
+    merge_all = encoder.table.merge_all
+    monkeypatch.setattr(encoder.table, "merge_all", lambda pieces: merged.extend(pieces) or merge_all(pieces))
+    texts = ["thaner ineros", "Thaner, ineros!! (thaner) 'tis don't, ...", "\u2003thaner\u3000ineros½!? 'sé\u00a0x-y_", "<|endoftext|>!! thaner's", None, " "] * 2
+    for text in texts:
+        ids = np.frombuffer(encoder.encode_many([text])[0], "<i4").tolist()
+        assert ids == words.encode(text or "", add_special_tokens=False).ids, repr(text)
+    assert len(merged) == len(set(merged))
+    assert encoder.encode_many(texts) == [encoder.encode_many([text])[0] for text in texts]
+
+
 def test_one_tree_and_many_trees_in_step_agree():
     table = bpe.MergeTable(WORDS)
     r = random.Random(3)
