@@ -124,6 +124,20 @@ def test_eigenpairs_of_slices(name):
         assert np.allclose(vectors.T @ vectors, np.eye(len(v)), atol=1e-12)
 
 
+@pytest.mark.parametrize("spread", [1e-1, 1e-2, 1e-4, 1e-6])
+@pytest.mark.parametrize("apart", [[], [93.0], [104.0, 93.0, 92.9], [64.3] * 10])
+def test_eigenpairs_of_a_dense_spectrum(apart, spread):
+    """Many vectors without a preferred direction: nearly equal eigenvalues, and a few that stand out far above them."""
+    r = np.random.default_rng(7)
+    for seed in range(4):
+        matrix = _spectrum(np.r_[apart, 64 + spread * r.standard_normal(64 - len(apart))], seed)
+        known = np.linalg.eigvalsh(matrix)[::-1]
+        parts = feast.slices(*feast.tridiagonal(matrix), 32)
+        assert all(p.count == ((known > p.low) & (known < p.high)).sum() for p in parts)
+        values = np.concatenate([feast.solve_slice(matrix, p)[0] for p in parts])
+        assert len(values) >= 32 and np.allclose(np.sort(values)[::-1], known[: len(values)], atol=1e-11)
+
+
 def test_no_slices_without_positive_eigenvalues():
     assert feast.slices(*feast.tridiagonal(np.zeros((4, 4))), 3) == []
     assert feast.slices(*feast.tridiagonal(-np.eye(3)), 3) == []
