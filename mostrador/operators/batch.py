@@ -1,11 +1,12 @@
 """Answers to a table of requests: each of the seven statistics from shared histograms over a tree of time.
 
-Sales are reduced once to (filters, time node, value) with counts, for the nodes that requests
-ask for. A request is the union of a few nodes, so requests that overlap in time share
-their sales instead of being paired with them. Counts, sums, ranges and spreads are merged from
-one row per node. Medians are searched jointly: values are numbered in order, and every
+Sales are reduced once to (filters, segment of time, value) with counts, for the segments that requests
+ask for. A request is the union of a few nodes of a tree over the segments, so requests that overlap in time
+share their sales instead of being paired with them. Counts, sums, ranges and spreads are merged from
+one row per segment, then from one row per node. Medians are searched jointly: values are numbered in order, and every
 round each request adds up, over its nodes, how many values fall under each of the 32 next
-digits of that number, and keeps the digit that holds its rank. Rows joined are requests
+digits of that number, and keeps the digit that holds its rank. Only counts are lifted to the nodes, never the
+values themselves, and only values that some request still looks at go on to the next round. Rows joined are requests
 times nodes times at most 32 a round; a round more is needed only for 32 times as many values.
 
 All joins are equality joins between stored tables, so Spark broadcasts a side only within its
@@ -23,10 +24,13 @@ from mostrador import schema as S
 from mostrador.operators.filters import EQUALITIES, MONTH_COLUMN
 from mostrador.operators.requests import request_bounds
 from mostrador.operators.summary import statistics
-from mostrador.operators.time_tree import ALL_LEVEL, TimeGrid, add_covering_nodes, fit_grid, node_at, segment
-from mostrador.session import shared_folder
+from mostrador.operators.time_tree import ALL_LEVEL, TimeGrid, add_covering_nodes, fit_grid, node_at, node_span, segment
+from mostrador.session import remove_folder, shared_folder
 
 DIGIT_BITS = 5
+# The segment of sales without a time, and of all sales of a group that asks for no range of times.
+NO_CELL = -1
+_CELL = ("group", "cell")
 _NODE = ("group", "level", "idx")
 _FIELDS = ("n", "total", "low", "high", "median", "deviation")
 
@@ -81,21 +85,33 @@ def within_bounds(sales: DataFrame, ranges: DataFrame) -> DataFrame:
     return sales
 
 
-def node_histogram(keyed: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``group, level, idx, value, n``: the distinct values of the sales in each of ``nodes`` (group, level, idx)."""
-    cells = (
-        keyed.join(groups, ["signature", "key"])
-        .groupBy("group", "cell", "value")
-        .agg(F.count("*").alias("n"))
+def asked_spans(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``groups`` with the first and last segment under their ``nodes`` (NULL if they ask for no range) and whether they ask for all times."""
+    ranged = F.col("level") != ALL_LEVEL
+    first, last = node_span(F.col("level"), F.col("idx"))
+    spans = nodes.groupBy("group").agg(
+        F.min(F.when(ranged, first)).alias("first"), F.max(F.when(ranged, last)).alias("last"), F.bool_or(~ranged).alias("everything")
     )
-    # At most one row per level of the tree.
-    levels = sorted(r["level"] for r in nodes.select("level").distinct().collect())
+    return groups.join(spans, "group")
+
+
+def cell_histogram(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """``group, cell, value, n``: the distinct values of the sales in each segment that ``groups`` (see ``asked_spans``) ask for."""
+    asked = F.col("everything") | F.col("cell").between(F.col("first"), F.col("last"))
+    cell = F.when(F.col("first").isNotNull() & F.col("cell").isNotNull(), F.col("cell")).otherwise(F.lit(NO_CELL).cast("bigint"))
+    placed = keyed.join(groups, ["signature", "key"]).where(asked).select("group", cell.alias("cell"), "value")
+    return placed.groupBy(*_CELL, "value").agg(F.count("*").alias("n"))
+
+
+def _lifted(cells: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Rows of segments as rows of the nodes above them, at most one per level."""
+    timed = F.col("cell") != NO_CELL
     above = [
-        F.struct(F.lit(k).alias("level"), (F.lit(0).cast("bigint") if k == ALL_LEVEL else node_at(F.col("cell"), k)).alias("idx"))
+        F.struct(F.lit(k).alias("level"), (F.lit(0).cast("bigint") if k == ALL_LEVEL else F.when(timed, node_at(F.col("cell"), k))).alias("idx"))
         for k in levels
     ]
-    lifted = cells.select("group", "value", "n", F.inline(F.array(*above))).where("idx is not null")
-    return lifted.join(nodes, list(_NODE)).groupBy(*_NODE, "value").agg(F.sum("n").alias("n"))
+    rest = [c for c in cells.columns if c != "cell"]
+    return cells.select(*rest, F.inline(F.array(*above))).where("idx is not null")
 
 
 def numbered_values(hist: DataFrame, folder: str) -> tuple[DataFrame, int]:
@@ -111,23 +127,39 @@ def numbered_values(hist: DataFrame, folder: str) -> tuple[DataFrame, int]:
     return ranked.select("value", (F.col("at") + F.col("shift")).alias("rank")), parts.agg(F.sum("n")).first()[0] or 0
 
 
-def node_moments(hist: DataFrame, folder: str) -> DataFrame:
-    """Rows, sum, range and squared distances from the own mean of every node."""
-    totals = hist.groupBy(*_NODE).agg(
+def cell_moments(hist: DataFrame, folder: str) -> DataFrame:
+    """Rows, sum, range and squared distances from the own mean of every segment."""
+    totals = hist.groupBy(*_CELL).agg(
         F.sum("n").alias("n"),
         F.sum(F.col("n") * F.col("value")).alias("total"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
     )
-    totals = _stored(totals, f"{folder}/totals")
+    totals = _stored(totals, f"{folder}/cell-totals")
     distance = F.col("value") - F.col("mean")
     spread = (
-        hist.join(totals.select(*_NODE, (F.col("total") / F.col("n")).alias("mean")), list(_NODE))
-        .groupBy(*_NODE)
+        hist.join(totals.select(*_CELL, (F.col("total") / F.col("n")).alias("mean")), list(_CELL))
+        .groupBy(*_CELL)
         .agg(F.sum(F.col("n") * distance).alias("first"), F.sum(F.col("n") * distance * distance).alias("second"))
     )
     squares = F.col("second") - F.col("first") * F.col("first") / F.col("n")
-    return spread.join(totals, list(_NODE)).select(*_NODE, "n", "total", "low", "high", squares.alias("squares"))
+    return spread.join(totals, list(_CELL)).select(*_CELL, "n", "total", "low", "high", squares.alias("squares"))
+
+
+def node_moments(cells: DataFrame, nodes: DataFrame, levels: Sequence[int], folder: str) -> DataFrame:
+    """The moments of ``nodes`` from those of their segments; spreads are merged about the mean of the node."""
+    parts = _lifted(cells, levels).join(nodes, list(_NODE))
+    totals = parts.groupBy(*_NODE).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    totals = _stored(totals, f"{folder}/totals")
+    apart = F.col("total") / F.col("n") - F.col("mean")
+    spread = (
+        parts.join(totals.select(*_NODE, (F.col("total") / F.col("n")).alias("mean")), list(_NODE))
+        .groupBy(*_NODE)
+        .agg(F.sum(F.col("squares") + F.col("n") * apart * apart).alias("squares"))
+    )
+    return spread.join(totals, list(_NODE)).select(*_NODE, "n", "total", "low", "high", "squares")
 
 
 def merged_moments(asks: DataFrame, moments: DataFrame) -> DataFrame:
@@ -175,10 +207,11 @@ def _chosen(counts: Column, rank: Column) -> Column:
     return F.aggregate(F.array_sort(counts), start, step)
 
 
-def medians(asks: DataFrame, sizes: DataFrame, hist: DataFrame, folder: str) -> DataFrame:
+def medians(asks: DataFrame, sizes: DataFrame, hist: DataFrame, levels: Sequence[int], folder: str) -> DataFrame:
     """``ask, median`` of every ask with rows; ``sizes`` has their number ``n``."""
     values, distinct = numbered_values(hist, folder)
-    numbered = _stored(hist.join(values, "value").select(*_NODE, "rank", "n"), f"{folder}/numbered")
+    at = f"{folder}/numbered"
+    numbered = _stored(hist.join(values, "value").select(*_CELL, "rank", "n"), at)
     rounds = max(1, -(-max(0, distinct - 1).bit_length() // DIGIT_BITS))
     # The middle row, or the two of them.
     middle = F.array(*[F.struct(F.lit(k).alias("side"), F.floor(p).cast("bigint").alias("rank")) for k, p in enumerate(((F.col("n") - 1) / 2, F.col("n") / 2))])
@@ -189,10 +222,19 @@ def medians(asks: DataFrame, sizes: DataFrame, hist: DataFrame, folder: str) ->
         low = DIGIT_BITS * round_
         state = _stored(state, f"{folder}/search-{round_}")
         digits, prefix = F.shiftright("rank", low).alias("digits"), F.shiftright("rank", low + DIGIT_BITS)
-        # Only what some ask still looks at is counted.
+        # Only what some ask still looks at is counted, and read in the next round.
         looked_at = paths.join(state.select("ask", "prefix").distinct(), "ask").select(*_NODE, "prefix").distinct()
-        inside = numbered.select(*_NODE, prefix.alias("prefix"), digits, "n").join(looked_at, [*_NODE, "prefix"])
-        counts = inside.groupBy(*_NODE, "prefix", "digits").agg(F.sum("n").alias("n"))
+        numbered = numbered.withColumn("prefix", prefix)
+        if round_ < rounds - 1:
+            wanted = _stored(asks.join(state, "ask").select("group", "prefix").distinct(), f"{folder}/wanted-{round_}")
+            numbered = numbered.join(wanted, ["group", "prefix"])
+            if round_:
+                numbered = _stored(numbered, f"{folder}/left-{round_}")
+                remove_folder(hist.sparkSession, at)
+                at = f"{folder}/left-{round_}"
+        inside = numbered.groupBy(*_CELL, "prefix", digits).agg(F.sum("n").alias("n"))
+        lifted = _lifted(inside, levels).join(looked_at, [*_NODE, "prefix"])
+        counts = lifted.groupBy(*_NODE, "prefix", "digits").agg(F.sum("n").alias("n"))
         met = paths.join(state.select("ask", "side", "prefix"), "ask").join(counts, [*_NODE, "prefix"])
         # Added up over the nodes before they are listed: 32 entries at most.
         added = met.groupBy("ask", "side", "digits").agg(F.sum("n").alias("n"))
@@ -200,6 +242,7 @@ def medians(asks: DataFrame, sizes: DataFrame, hist: DataFrame, folder: str) ->
         state = state.select("ask", "side", "rank").join(listed, ["ask", "side"]).select(
             "ask", "side", _chosen(F.col("counts"), F.col("rank")).alias("at")
         ).select("ask", "side", F.col("at.prefix").alias("prefix"), F.col("at.rank").alias("rank"))
+    state = _stored(state, f"{folder}/places")
     found = state.join(values.withColumnRenamed("rank", "prefix"), "prefix").groupBy("ask").agg(
         F.max(F.when(F.col("side") == 0, F.col("value"))).alias("lower"), F.max(F.when(F.col("side") == 1, F.col("value"))).alias("upper")
     )
@@ -227,8 +270,11 @@ def batch_summary(sales: DataFrame, validated: DataFrame, measure: str = S.MEASU
     asks = add_covering_nodes(distinct.join(groups, ["signature", "key"]), grid).select("combination", "group", "nodes")
     asks = _stored(asks.withColumn("ask", F.monotonically_increasing_id()), f"{folder}/asks")
     nodes = _stored(asks.select("group", F.inline("nodes")).distinct(), f"{folder}/nodes")
+    levels = sorted(r["level"] for r in nodes.select("level").distinct().collect())  # the height of the tree at most
+    groups = _stored(asked_spans(groups, nodes), f"{folder}/spans")
     keyed = _sales_keys(within_bounds(sales, distinct), signatures, grid, measure)
-    hist = _stored(node_histogram(keyed, groups, nodes), f"{folder}/histogram")
-    sizes = _stored(merged_moments(asks, node_moments(hist, folder)), f"{folder}/moments")
-    found = sizes.join(medians(asks, sizes, hist, folder), "ask").join(asks.select("ask", "combination"), "ask")
+    hist = _stored(cell_histogram(keyed, groups), f"{folder}/histogram")
+    cells = _stored(cell_moments(hist, folder), f"{folder}/cells")
+    sizes = _stored(merged_moments(asks, node_moments(cells, nodes, levels, folder)), f"{folder}/moments")
+    found = sizes.join(medians(asks, sizes, hist, levels, folder), "ask").join(asks.select("ask", "combination"), "ask")
     return answers.join(found, "combination", "left").select("request_id", *statistics(*[F.col(f) for f in _FIELDS]))

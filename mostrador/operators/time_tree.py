@@ -73,6 +73,12 @@ def node_at(cell: Column, level: int) -> Column:
     return F.shiftright(cell, ARITY_BITS * level)
 
 
+def node_span(level: Column, idx: Column) -> tuple[Column, Column]:
+    """The first and the last segment under a node."""
+    bits = level * ARITY_BITS
+    return F.call_function("shiftleft", idx, bits), F.call_function("shiftleft", idx + 1, bits) - 1
+
+
 def add_covering_nodes(ranges: DataFrame, grid: TimeGrid | None, low: str = "desde", high: str = "hasta") -> DataFrame:
     """``ranges`` with ``nodes``, the nodes (level, idx) that make up each range of times, both bounds included.
 

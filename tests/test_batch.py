@@ -160,3 +160,28 @@ def test_no_round_of_the_search_carries_lists_of_nodes(spark, monkeypatch):
     assert {r["request_id"]: r["mediana"] for r in found} == {"r0": (34**2 + 35**2) / 2, "r1": (23**2 + 24**2) / 2, "r2": 110.5}
     assert len(rounds) == 2
     assert all("nodes" not in df.columns for df in rounds)
+
+
+def test_values_are_kept_once_however_high_the_tree(spark, monkeypatch):
+    """Amounts that differ from sale to sale: no stored table has a row per sale and level of the tree."""
+    r = random.Random(6)
+    day = dt.datetime(2020, 1, 1)
+    rows = [(day + dt.timedelta(days=r.randint(0, 400)), "POS", k + r.random()) for k in range(1500)]
+    sales = spark.createDataFrame([*rows, (None, "POS", 7.5)], SALES)
+    ranges = [(a, a + r.randint(1, 200)) for a in range(0, 200, 9)]
+    bodies = {f"r{k}": _request(desde=str((day + dt.timedelta(days=a)).date()), hasta=str((day + dt.timedelta(days=b)).date())) for k, (a, b) in enumerate(ranges)}
+    bodies["all"] = "{}"
+    stored, sizes = batch._stored, {}
+
+    def noted(df, folder):
+        kept = stored(df, folder)
+        sizes[folder.rsplit("/", 1)[1]] = kept.count()
+        return kept
+
+    monkeypatch.setattr(batch, "_stored", noted)
+    got = {q["request_id"]: tuple(q)[1:] for q in _batch(spark, sales, bodies).collect()}
+    for name in ("r0", "r11", "r22", "all"):
+        filters = [(f["consulta"], f["valor"]) for f in json.loads(bodies[name]).get("consultas", [])]
+        assert got[name] == pytest.approx(tuple(summary(sales, filters).first())), name
+    assert sizes["histogram"] <= 1501 and sizes["numbered"] <= 1501
+    assert max(n for name, n in sizes.items() if name.startswith("left-")) < 1501
