@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mostrador import schema as S
-from mostrador.session import shared_folder
+from mostrador.session import release_shuffles, shared_folder
 
 # Channel by order key modulo 6.
 CHANNEL_CYCLE = ("POS", "WEB", "APP", "CCT", "APR", "WPR")
@@ -163,6 +163,7 @@ def staged_once(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _staged:
         _staged[key] = build(shared_folder(spark, kind))
+        release_shuffles(spark)
     return _staged[key]
 
 

@@ -170,12 +170,16 @@ def fit_features(df: DataFrame, with_frequency: bool = True) -> FeatureParams:
 def apply_features(df: DataFrame, params: FeatureParams) -> DataFrame:
     """Add every feature whose inputs are present, using given parameters only."""
     columns = set(df.columns)
+    looked_up = CUSTOMER in columns and params.frequency is not None
+    # The lookup may shuffle the rows, so it comes before there are more columns; its own column still follows them.
+    if looked_up:
+        df = add_frequency(df, params.frequency)
     if {MEASURE, UNITS} <= columns:
         df = add_unit_price(df)
     if {SALE_TIME, BIRTH_DATE} <= columns:
         df = add_age(df)
-    if CUSTOMER in columns and params.frequency is not None:
-        df = add_frequency(df, params.frequency)
+    if looked_up:
+        df = df.select(*[c for c in df.columns if c != FREQUENCY], FREQUENCY)
     return apply_scales(df, params.scales)
 
 

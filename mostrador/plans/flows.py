@@ -20,7 +20,7 @@ from mostrador.operators.features import (
     scaling_parameters,
 )
 from mostrador.operators.missingness import mcar_report
-from mostrador.session import remove_folder, subfolders
+from mostrador.session import PACKED, remove_folder, subfolders
 from mostrador.sources import load_log
 from mostrador.sources.extract import REJECTED, TOO_LONG, accepted, stage_extract
 from mostrador.sources.facts import read_facts, to_fact_columns, write_facts
@@ -44,7 +44,7 @@ def _stage(spark: SparkSession, source: str, folder: str, strict: bool) -> tuple
         F.count_if(~long & misfit).alias("rejected"),
         F.min(F.when(~long & misfit, F.array_join(REJECTED, ", "))).alias("misfits"),
     )
-    counted.write.mode("errorifexists").parquet(f"{folder}/filas")
+    counted.write.mode("errorifexists").options(**PACKED).parquet(f"{folder}/filas")
     remove_folder(spark, f"{folder}/texto")
     counts = seen.get
     if not counts["loaded"] + counts["rejected"]:
@@ -64,7 +64,7 @@ def _keep_rejects(spark: SparkSession, folder: str, target: str) -> None:
         F.col(TOO_LONG).alias("linea"),
         F.when(F.col(TOO_LONG).isNull(), F.col(REJECTED)).alias("columnas"),
         F.when(F.col(TOO_LONG).isNull(), F.to_json(F.struct(*values))).alias("valores"),
-    ).write.mode("errorifexists").parquet(target)
+    ).write.mode("errorifexists").options(**PACKED).parquet(target)
 
 
 def two_pass(sales: DataFrame, with_frequency: bool = True) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from mostrador import schema as S
 from mostrador.errors import EmptyInputError, MissingColumnsError, UnreadableInputError
 from mostrador.functions import casting
-from mostrador.session import shared_folder
+from mostrador.session import PACKED, shared_folder
 
 _CORRUPT = "_corrupt"
 REJECTED = "_rechazo"
@@ -129,7 +129,7 @@ def staged_lines(spark: SparkSession, path: str, folder: str) -> DataFrame:
     without it has NULLs there. ``TOO_LONG`` is the text of a line with more fields than its header, else NULL.
     """
     require_input(spark, path)
-    text_lines(spark, path).write.mode("errorifexists").parquet(f"{folder}/lineas")
+    text_lines(spark, path).write.mode("errorifexists").options(**PACKED).parquet(f"{folder}/lineas")
     lines = spark.read.parquet(f"{folder}/lineas")
     file_headers(lines).write.mode("errorifexists").parquet(f"{folder}/encabezados")
     headers = spark.read.parquet(f"{folder}/encabezados")

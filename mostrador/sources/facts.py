@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from mostrador import schema as S
 from mostrador.functions import derive
 from mostrador.operators.filters import CUSTOMER_KEY, MONTH_COLUMN
+from mostrador.session import PACKED
 
 _STORED = T.StructType(
     [
@@ -63,13 +64,14 @@ def write_facts(df: DataFrame, folder: str) -> int:
     narrow, so that looking one up skips nearly all of them.
     """
     seen = Observation(f"facts-{uuid.uuid4().hex}")
-    facts = df.withColumns(
-        {CUSTOMER_KEY: F.lower("codigo_cliente"), MONTH_COLUMN: derive.month_label(F.col("fecha"))}
-    )
-    laid_out = facts.hint("rebalance", F.col(MONTH_COLUMN)).sortWithinPartitions(*reversed(LAYOUT_COLUMNS))
+    rebalanced = df.withColumn(MONTH_COLUMN, derive.month_label(F.col("fecha"))).hint("rebalance", F.col(MONTH_COLUMN))
+    # The key repeats a column, so it is added after the shuffle.
+    facts = rebalanced.withColumn(CUSTOMER_KEY, F.lower("codigo_cliente")).select(*df.columns, *LAYOUT_COLUMNS)
+    laid_out = facts.sortWithinPartitions(*reversed(LAYOUT_COLUMNS))
     (
         laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("errorifexists")
+        .options(**PACKED)
         .partitionBy(MONTH_COLUMN)
         .parquet(folder)
     )

@@ -165,6 +165,15 @@ def test_ingest_once(spark, write, folder):
     assert flows.published_facts(spark, root).count() == 60
 
 
+def test_a_load_packs_what_it_stores(spark, write, folder, monkeypatch):
+    monkeypatch.setattr(flows, "remove_folder", lambda *_: True)
+    root = folder("carga")
+    flows.ingest(spark, write([_line(i) for i in range(20)] + [_line(20, SKU="x")]), root, strict=False)
+    for step in ("lineas", "filas", "rechazos", "ventas"):
+        files = [p.name for p in Path(root).rglob("*.parquet") if f"/{step}/" in str(p)]
+        assert files and all(n.endswith(".zstd.parquet") for n in files), step
+
+
 def test_failed_load_is_not_visible(spark, write, folder):
     root = folder("carga")
     with pytest.raises(UnreadableInputError):
