@@ -6,8 +6,9 @@ projects a random block onto the slice's eigenvectors; Rayleigh-Ritz extracts th
 projection is repeated until they are exact to rounding. How many eigenvalues a slice
 holds is known beforehand from inertia: the negative pivots of the shifted matrix in
 tridiagonal form. A slice is done only when it has as many pairs as that count.
-The circle is drawn close around the eigenvalues of the slice, and the block is wide enough for
-those just outside it too, which the quadrature damps little; all others fall by hundreds in a step.
+A circle may be far wider than the eigenvalues of its slice, with others crowded just outside it, which the
+quadrature damps little. A slice that does not settle for this reason is solved again, on a circle close around
+its eigenvalues and with a block that has room for those just outside; all others then fall by hundreds in a step.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ _EPS = np.finfo(float).eps
 
 
 class Slice(NamedTuple):
-    """An interval of the spectrum, the number of eigenvalues in it, and of those in it or ``NEAR`` it."""
+    """An interval of the spectrum, the number of eigenvalues in it, a closer interval around them, and how many are in or ``NEAR`` that."""
 
     low: float
     high: float
     count: int
+    close_low: float
+    close_high: float
     near: int
 
 
@@ -89,35 +92,34 @@ def slices(diagonal: np.ndarray, off: np.ndarray, wanted: int) -> list[Slice]:
         enough = counts_above(diagonal, off, middle) >= ranks
         left, right = np.where(enough, middle, left), np.where(enough, right, middle)
     values = (left + right) / 2
-    # Above the first and below the last one there is nothing.
-    beyond = max(values[0] - values[-1], scale * 1e-3)
-    gaps = np.append(values[:-1] - values[1:], beyond)
+    gaps = np.append(values[:-1] - values[1:], np.inf)
+    known, beyond = values, max(values[0] - values[-1], scale * 1e-3)
+    values = np.append(values, values[-1] - beyond)
     clear = np.flatnonzero(gaps > _CLEAR * scale)
     # Eigenvalues beyond the wanted ones come along where they cannot be parted from them.
     stop = int(clear[clear >= wanted - 1][0]) + 1
-    edges, near, start = [], [], 0
+    edges, close, start = [float(values[0] + max(values[0] - values[stop], scale * 1e-3))], [], 0
     while start < stop:
         end = start + int(np.argmax(gaps[start : min(start + SLICE, stop)])) + 1
         if gaps[end - 1] <= _CLEAR * scale:  # a cluster larger than a slice should be
             end = int(clear[clear >= start][0]) + 1
-        room = min(gaps[start - 1] if start else beyond, gaps[end - 1]) / 2
-        low, high = float(values[end - 1] - room), float(values[start] + room)
-        edges.append((low, high))
-        near.append(int((np.abs(values - (low + high) / 2) < NEAR * (high - low) / 2).sum()))
+        edges.append(float((values[end - 1] + values[end]) / 2))
+        room = min(gaps[start - 1] if start else beyond, gaps[end - 1], beyond) / 2
+        low, high = float(known[end - 1] - room), float(known[start] + room)
+        close.append((low, high, int((np.abs(known - (low + high) / 2) < NEAR * (high - low) / 2).sum())))
         start = end
-    above = counts_above(diagonal, off, np.array(edges).ravel()).reshape(-1, 2)
-    return [Slice(b, a, int(m - k), w) for (b, a), (m, k), w in zip(edges, above, near) if m > k]
+    above = counts_above(diagonal, off, np.array(edges))
+    return [Slice(b, a, int(m - k), *c) for a, b, k, m, c in zip(edges, edges[1:], above, above[1:], close) if m > k]
 
 
-def solve_slice(matrix: np.ndarray, part: Slice, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Eigenvalues and unit eigenvectors (columns) of the slice, as many as its count says."""
+def _settled(matrix: np.ndarray, low: float, high: float, count: int, width: int, seed: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """The ``count`` eigenpairs between two bounds by a block of ``width`` vectors; None if they do not settle."""
     n = len(matrix)
     scale = float(np.abs(matrix).sum(axis=1).max())
-    center, radius = (part.low + part.high) / 2, (part.high - part.low) / 2
+    center, radius = (low + high) / 2, (high - low) / 2
     angles = (np.arange(NODES) + 0.5) * np.pi / NODES
     points = center + radius * np.exp(1j * angles)
-    width = min(n, part.near + 4)
-    block = np.random.default_rng(seed).standard_normal((n, width))
+    block = np.random.default_rng(seed).standard_normal((n, min(n, width)))
     identity = np.eye(n)
     best = None
     for _ in range(MOST_STEPS):
@@ -129,9 +131,20 @@ def solve_slice(matrix: np.ndarray, part: Slice, seed: int = 0) -> tuple[np.ndar
         values, rotation = np.linalg.eigh(basis.T @ matrix @ basis)
         block = basis @ rotation
         errors = np.linalg.norm(matrix @ block - block * values, axis=0)
-        inside = np.flatnonzero((values > part.low) & (values < part.high) & (errors <= 64 * n * _EPS * scale))
-        if len(inside) == part.count:
+        inside = np.flatnonzero((values > low) & (values < high) & (errors <= 64 * n * _EPS * scale))
+        if len(inside) == count:
             if best is not None:  # once more after it has settled, down to rounding
                 return values[inside], block[:, inside]
             best = inside
+    return None
+
+
+def solve_slice(matrix: np.ndarray, part: Slice, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues and unit eigenvectors (columns) of the slice, as many as its count says."""
+    wide = part.low, part.high, part.count, max(part.count + 4, int(1.5 * part.count))
+    close = part.close_low, part.close_high, part.count, part.near + 4
+    for low, high, count, width in (wide, close):
+        found = _settled(matrix, low, high, count, width, seed)
+        if found is not None:
+            return found
     raise RuntimeError(f"eigenvalues between {part.low} and {part.high} did not settle: {part.count} are there")

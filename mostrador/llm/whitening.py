@@ -125,15 +125,18 @@ def _eigenpairs(spark, covariance: np.ndarray, most: int) -> tuple[np.ndarray, n
     if not parts:
         return np.zeros(0), np.zeros((dims, 0))
 
+    # Tasks are dealt by bounds and count alone: the order of the pairs, and with it their signs, follows the rows dealt.
+    whole = {p[:3]: p for p in parts}
+
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in zip(*(column.to_pylist() for column in batch.columns)):
-                values, vectors = feast.solve_slice(covariance, feast.Slice(*part))
+            for bounds in zip(*(column.to_pylist() for column in batch.columns)):
+                values, vectors = feast.solve_slice(covariance, whole[bounds])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values), pa.array(vectors.T.tolist(), pa.list_(pa.float64()))], ["value", "vector"]
                 )
 
-    table = spark.createDataFrame([tuple(p) for p in parts], "low double, high double, count int, near int").repartition(len(parts))
+    table = spark.createDataFrame(list(whole), "low double, high double, count int").repartition(len(parts))
     found = table.mapInArrow(solved, "value double, vector array<double>").collect()
     # Rayleigh-Ritz over all slices together makes vectors of different slices orthogonal to rounding.
     basis, _ = np.linalg.qr(np.array([r["vector"] for r in found]).T)
