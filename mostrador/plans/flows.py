@@ -26,6 +26,9 @@ from mostrador.sources.extract import REJECTED, TOO_LONG, accepted, stage_extrac
 from mostrador.sources.facts import read_facts, to_fact_columns, write_facts
 from mostrador.sources.reports import save_report
 
+# Rows of a load that are in shuffle files at the same time, while the facts are written.
+TURN_ROWS = 80_000_000
+
 
 def _stage(spark: SparkSession, source: str, folder: str, strict: bool) -> tuple[DataFrame, dict[str, int]]:
     """Parse the text once and keep it as Parquet: the accepted rows, and how many were loaded, skipped and rejected.
@@ -114,7 +117,8 @@ def ingest(
     run = f"{root}/cargas/{uuid.uuid4().hex}"
     sales, counts = _stage(spark, source, f"{run}/origen", strict)
     facts = f"{run}/ventas"
-    rows = write_facts(to_fact_columns(two_pass(sales, with_frequency)), facts)
+    turns = max(1, -(-counts["loaded"] // TURN_ROWS))
+    rows = write_facts(to_fact_columns(two_pass(sales, with_frequency)), facts, turns)
     _keep_rejects(spark, f"{run}/origen", f"{run}/rechazos")
     load_log.mark_complete(spark, root, rows, facts, counts["skipped"], counts["rejected"])
     remove_folder(spark, f"{run}/origen")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from mostrador import schema as S
 from mostrador.functions import derive
 from mostrador.operators.filters import CUSTOMER_KEY, MONTH_COLUMN
-from mostrador.session import PACKED
+from mostrador.session import PACKED, release_shuffles
 
 _STORED = T.StructType(
     [
@@ -55,27 +55,35 @@ def months_present(df: DataFrame, column: str = S.SALE_TIME) -> DataFrame:
     return df.where(at.isNotNull()).select(derive.month_label(at).alias(MONTH_COLUMN)).distinct()
 
 
-def write_facts(df: DataFrame, folder: str) -> int:
+def write_facts(df: DataFrame, folder: str, turns: int = 1) -> int:
     """Write to an unused folder and return the number of rows, counted while writing.
 
     Rebalancing by month gives each month few files of even size: a month that
     holds a third of all sales is split over many tasks, small ones are merged.
     Sorting by customer inside a task keeps the range of customers per row group
     narrow, so that looking one up skips nearly all of them.
+
+    In several ``turns``, each takes the whole months that a hash deals to it, and its shuffles are
+    let go before the next one, so only a part of the rows is in shuffle files at any time. ``df`` is read once a turn.
     """
-    seen = Observation(f"facts-{uuid.uuid4().hex}")
-    rebalanced = df.withColumn(MONTH_COLUMN, derive.month_label(F.col("fecha"))).hint("rebalance", F.col(MONTH_COLUMN))
-    # The key repeats a column, so it is added after the shuffle.
-    facts = rebalanced.withColumn(CUSTOMER_KEY, F.lower("codigo_cliente")).select(*df.columns, *LAYOUT_COLUMNS)
-    laid_out = facts.sortWithinPartitions(*reversed(LAYOUT_COLUMNS))
-    (
-        laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("errorifexists")
-        .options(**PACKED)
-        .partitionBy(MONTH_COLUMN)
-        .parquet(folder)
-    )
-    return seen.get["rows"]
+    dated = df.withColumn(MONTH_COLUMN, derive.month_label(F.col("fecha")))
+    rows = 0
+    for turn in range(turns):
+        release_shuffles(df.sparkSession)
+        part = dated if turns == 1 else dated.where(F.pmod(F.xxhash64(MONTH_COLUMN), F.lit(turns)) == turn)
+        seen = Observation(f"facts-{uuid.uuid4().hex}")
+        # The key repeats a column, so it is added after the shuffle.
+        keyed = part.hint("rebalance", F.col(MONTH_COLUMN)).withColumn(CUSTOMER_KEY, F.lower("codigo_cliente"))
+        laid_out = keyed.select(*df.columns, *LAYOUT_COLUMNS).sortWithinPartitions(*reversed(LAYOUT_COLUMNS))
+        (
+            laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.mode("append" if turn else "errorifexists")
+            .options(**PACKED)
+            .partitionBy(MONTH_COLUMN)
+            .parquet(folder)
+        )
+        rows += seen.get["rows"]
+    return rows
 
 
 def read_facts(spark: SparkSession, folder: str) -> DataFrame:

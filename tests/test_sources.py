@@ -174,6 +174,23 @@ def test_a_load_packs_what_it_stores(spark, write, folder, monkeypatch):
         assert files and all(n.endswith(".zstd.parquet") for n in files), step
 
 
+def test_facts_written_in_turns_are_whole(spark, write, folder, monkeypatch):
+    lines = [_line(i, FECHA=f"20{20 + i % 3}-0{1 + i % 7}-03T10:00:00") for i in range(60)]
+    flows.ingest(spark, write(lines), folder("at once"))
+    want = flows.published_facts(spark, folder("at once"))
+    monkeypatch.setattr(flows, "TURN_ROWS", 9)  # seven turns; some hold no month
+    state = flows.ingest(spark, write(lines), folder("turns"))
+    found = flows.published_facts(spark, folder("turns"))
+    assert state.rows == 60 and found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    path = folder("one month")
+    one = spark.createDataFrame([(dt.datetime(2020, 5, k), "C") for k in range(1, 9)], "fecha timestamp_ntz, codigo_cliente string")
+    released = []
+    monkeypatch.setattr(facts, "release_shuffles", released.append)
+    assert facts.write_facts(one, path, 4) == 8 and len(released) == 4
+    assert len(list(Path(path).glob("ym=2020-05/*.parquet"))) == 1
+
+
 def test_failed_load_is_not_visible(spark, write, folder):
     root = folder("carga")
     with pytest.raises(UnreadableInputError):
